@@ -10,16 +10,15 @@ the lowest AIC on a common sample.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations_with_replacement
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut_lineage
+from .arima_solve import choose_order, forecast_rows, solve_long
 from .series import UNIT_SECONDS, phase_of, season_offsets
 
 MAX_ORDER = 5
@@ -28,30 +27,33 @@ MAX_ORDER = 5
 KPSS_LIMIT = 0.463
 KPSS_LAGS = 24
 
-BY_SERIES = Window.partitionBy("series_id")
-IN_ORDER = BY_SERIES.orderBy("bucket")
-SO_FAR = IN_ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _in_order():
+    return Window.partitionBy("series_id").orderBy("bucket")
 
 
 def difference_order(series: DataFrame) -> DataFrame:
     """``(series_id, n, kpss, d)``: d is 1 where the level is not stationary."""
-    centered = series.withColumn("e", F.col("y") - F.avg("y").over(BY_SERIES))
-    lagged = [F.lag("e", k).over(IN_ORDER).alias(f"e{k}") for k in range(1, KPSS_LAGS + 1)]
-    rows = centered.select("series_id", "e", F.sum("e").over(SO_FAR).alias("s"), *lagged)
+    mean = F.avg("y").over(Window.partitionBy("series_id"))
+    centered = series.withColumn("e", F.col("y") - mean)
+    so_far = _in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lagged = [F.lag("e", k).over(_in_order()).alias(f"e{k}") for k in range(1, KPSS_LAGS + 1)]
+    rows = centered.select("series_id", "e", F.sum("e").over(so_far).alias("s"), *lagged)
+    covariances = [f"coalesce(sum(e * e{k}), 0D)" for k in range(1, KPSS_LAGS + 1)]
     sums = rows.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("s") * F.col("s")).alias("ss"),
-        F.sum(F.col("e") * F.col("e")).alias("c0"),
-        *[
-            F.coalesce(F.sum(F.col("e") * F.col(f"e{k}")), F.lit(0.0)).alias(f"c{k}")
-            for k in range(1, KPSS_LAGS + 1)
-        ],
+        F.expr("sum(s * s)").alias("ss"),
+        F.expr("sum(e * e)").alias("c0"),
+        F.expr(f"array({', '.join(covariances)})").alias("c"),
     )
     width = F.floor(4 * F.pow(F.col("n") / 100, 0.25))
-    weighted = F.col("c0")
-    for k in range(1, KPSS_LAGS + 1):
-        weight = F.when(F.lit(k) <= width, 2 * (1 - k / (width + 1))).otherwise(0.0)
-        weighted = weighted + weight * F.col(f"c{k}")
+    weights = F.transform(
+        F.sequence(F.lit(1), F.lit(KPSS_LAGS)),
+        lambda k: F.when(k <= width, 2 * (1 - k / (width + 1))).otherwise(F.lit(0.0)),
+    )
+    terms = F.zip_with(weights, "c", lambda w, c: w * c)
+    weighted = F.col("c0") + F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
     kpss = F.try_divide(F.col("ss"), F.col("n") * weighted)
     return sums.select("series_id", "n", kpss.alias("kpss")).withColumn(
         "d", F.when(F.col("kpss") > KPSS_LIMIT, 1).otherwise(0)
@@ -59,7 +61,7 @@ def difference_order(series: DataFrame) -> DataFrame:
 
 
 def _lag_columns(name: str, count: int) -> list[Column]:
-    return [F.lag(name, k).over(IN_ORDER).alias(f"{name}{k}") for k in range(1, count + 1)]
+    return [F.lag(name, k).over(_in_order()).alias(f"{name}{k}") for k in range(1, count + 1)]
 
 
 def _lag_names(name: str, count: int) -> list[str]:
@@ -69,16 +71,15 @@ def _lag_names(name: str, count: int) -> list[str]:
 def _weighted(coefficients: str, names: Sequence[str]) -> Column:
     """Sum of coefficient times value over the entries the coefficient array has."""
     terms = [
-        F.coalesce(F.get(F.col(coefficients), F.lit(i)), F.lit(0.0)) * F.col(name)
-        for i, name in enumerate(names)
+        f"coalesce(get({coefficients}, {i}), 0D) * {name}" for i, name in enumerate(names)
     ]
-    return sum(terms[1:], terms[0])
+    return F.expr(" + ".join(terms))
 
 
 def _stationary(series: DataFrame, orders: DataFrame) -> DataFrame:
     """``z``: the series, differenced where its ``d`` is 1."""
     joined = series.join(orders, "series_id")
-    change = F.col("y") - F.lag("y", 1).over(IN_ORDER)
+    change = F.col("y") - F.lag("y", 1).over(_in_order())
     z = F.when(F.col("d") == 1, change).otherwise(F.col("y"))
     return joined.withColumn("z", z).where(F.col("z").isNotNull())
 
@@ -90,90 +91,20 @@ def _with_residuals(rows: DataFrame, order: int) -> DataFrame:
     return lagged.withColumn("e", F.col("z") - fitted).select("*", *_lag_columns("e", order))
 
 
-def _cross_products(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+def _cross_products(
+    rows: DataFrame, names: Sequence[str], others: Mapping[str, Column] | None = None
+) -> DataFrame:
     """``(series_id, n, gram)``: upper triangle of all products of the named columns."""
     products = [
-        F.sum(F.col(a) * F.col(b)) for a, b in combinations_with_replacement(names, 2)
+        F.expr(f"sum({a} * {b})") for a, b in combinations_with_replacement(names, 2)
     ]
     return rows.groupBy("series_id").agg(
-        F.count(F.lit(1)).alias("n"), F.array(*products).alias("gram")
+        F.count(F.lit(1)).alias("n"),
+        F.array(*products).alias("gram"),
+        *[column.alias(name) for name, column in (others or {}).items()],
     )
 
 
-def _square(triangle: np.ndarray, size: int) -> np.ndarray:
-    full = np.zeros((size, size))
-    full[np.triu_indices(size)] = triangle
-    return full + np.triu(full, 1).T
-
-
-def _regress(gram: np.ndarray, chosen: Sequence[int]) -> tuple[np.ndarray, float]:
-    """Least squares of column 0 on the chosen columns: coefficients and error sum."""
-    x = gram[np.ix_(chosen, chosen)]
-    ridge = 1e-10 * np.trace(x) / len(chosen)
-    beta = np.linalg.solve(x + ridge * np.eye(len(chosen)), gram[chosen, 0])
-    return beta, float(gram[0, 0] - 2 * beta @ gram[chosen, 0] + beta @ x @ beta)
-
-
-def _inside(coefficients: Sequence[float]) -> bool:
-    """Whether the recursion with these coefficients dies out."""
-    if not len(coefficients):
-        return True
-    return bool(np.abs(np.roots(np.r_[1.0, -np.asarray(coefficients)])).max() < 0.999)
-
-
-def _solve_long(order: int):
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for row in batch.itertuples():
-                # target and constant come before the lags
-                gram = _square(np.asarray(row.gram), order + 2)
-                if row.n <= order + 2 or gram[0, 0] <= 0:
-                    continue
-                try:
-                    beta, _ = _regress(gram, range(1, order + 2))
-                except np.linalg.LinAlgError:
-                    continue
-                found.append((row.series_id, float(beta[0]), beta[1:].tolist()))
-            yield pd.DataFrame(found, columns=["series_id", "long_intercept", "long_ar"])
-
-    return solve
-
-
-def _choose_order(order: int, fixed: tuple[int, int] | None):
-    orders = [fixed] if fixed else [
-        (p, q) for p in range(order + 1) for q in range(order + 1 - p)
-    ]
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["series_id", "n", "p", "q", "intercept", "ar", "ma", "sigma", "aic"]
-        for batch in batches:
-            found = []
-            for row in batch.itertuples():
-                gram = _square(np.asarray(row.gram), 2 * order + 2)
-                best = None
-                for p, q in orders:
-                    chosen = [1, *range(2, 2 + p), *range(2 + order, 2 + order + q)]
-                    if row.n <= len(chosen):
-                        continue
-                    try:
-                        beta, error = _regress(gram, chosen)
-                    except np.linalg.LinAlgError:
-                        continue
-                    ar, ma = beta[1 : 1 + p], beta[1 + p :]
-                    if error <= 1e-9 * gram[0, 0] or not _inside(ar) or not _inside(-ma):
-                        continue
-                    aic = row.n * np.log(error / row.n) + 2 * len(chosen)
-                    if best is None or aic < best[-1]:
-                        sigma = float(np.sqrt(error / row.n))
-                        best = (p, q, float(beta[0]), ar.tolist(), ma.tolist(), sigma, aic)
-                if best:
-                    found.append((row.series_id, row.n, *best))
-            yield pd.DataFrame(found, columns=columns)
-
-    return solve
-
-
 def fit_arima(
     series: DataFrame,
     unit: str,
@@ -185,12 +116,14 @@ def fit_arima(
 
     Series that are too short, constant, or fit no stationary model have no row.
     """
-    # several passes follow: the source behind the series is read once, here
+    # several passes follow: the source behind the series is read once, here, and the
+    # later cuts keep frames of at most some thousand rows per series from being redone
     series = cut_lineage(series.select("series_id", "bucket", "y"))
     phases = season_offsets(series, unit) if seasonal and unit in PHASED else None
     season = _season_maps(series, phases)
     adjusted = _without_season(series.join(season, "series_id"), unit)
 
+    adjusted = cut_lineage(adjusted)
     orders = difference_order(adjusted)
     orders = orders.where(F.col("n") >= max_order + 3).select("series_id", "d")
     if order:
@@ -201,32 +134,35 @@ def fit_arima(
     names = _lag_names("z", max_order)
     first = _cross_products(lagged.where(F.col(names[-1]).isNotNull()), ["z", "one", *names])
     long_fit = first.mapInPandas(
-        _solve_long(max_order),
+        solve_long(max_order),
         "series_id string, long_intercept double, long_ar array<double>",
     )
 
     full = _with_residuals(rows.join(long_fit, "series_id"), max_order)
     errors = _lag_names("e", max_order)
-    second = _cross_products(
-        full.where(F.col(errors[-1]).isNotNull()), ["z", "one", *names, *errors]
+    last = {
+        "last_bucket": F.max("bucket"),
+        "last_y": F.max_by("y", "bucket"),
+        "last_z": F.max_by(F.array("z", *names[:-1]), "bucket"),
+        "last_e": F.max_by(F.array("e", *errors[:-1]), "bucket"),
+        "d": F.first("d"),
+        "season": F.first("season"),
+        "long_intercept": F.first("long_intercept"),
+        "long_ar": F.first("long_ar"),
+    }
+    second = cut_lineage(
+        _cross_products(
+            full.where(F.col(errors[-1]).isNotNull()), ["z", "one", *names, *errors], last
+        )
     )
-    fits = second.mapInPandas(
-        _choose_order(max_order, (order[0], order[2]) if order else None),
+    fits = second.select("series_id", "n", "gram").mapInPandas(
+        choose_order(max_order, (order[0], order[2]) if order else None),
         "series_id string, n bigint, p int, q int, intercept double, ar array<double>, "
         "ma array<double>, sigma double, aic double",
     )
-    state = full.groupBy("series_id").agg(
-        F.max("bucket").alias("last_bucket"),
-        F.max_by("y", "bucket").alias("last_y"),
-        F.max_by(F.array("z", *names[:-1]), "bucket").alias("last_z"),
-        F.max_by(F.array("e", *errors[:-1]), "bucket").alias("last_e"),
-        F.first("d").alias("d"),
-        F.first("season").alias("season"),
-        F.first("long_intercept").alias("long_intercept"),
-        F.first("long_ar").alias("long_ar"),
-    )
+    models = fits.join(second.drop("n", "gram"), "series_id")
     # one row per series: later readers do not fit again
-    return cut_lineage(fits.join(state, "series_id").withColumn("unit", F.lit(unit)))
+    return cut_lineage(models.withColumn("unit", F.lit(unit)))
 
 
 PHASED = ("hour", "day")
@@ -250,43 +186,6 @@ def _without_season(rows: DataFrame, unit: str) -> DataFrame:
     return rows.withColumn("y", F.col("y") - _offset(unit))
 
 
-def _path(model, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forecasts of the season-free series and their standard errors, 1 to ``steps``."""
-    ar, ma = np.asarray(model.ar, dtype=float), np.asarray(model.ma, dtype=float)
-    z = list(np.asarray(model.last_z, dtype=float)[: len(ar)])
-    e = list(np.nan_to_num(np.asarray(model.last_e, dtype=float)[: len(ma)]))
-    mean, psi, recent_psi = np.empty(steps), np.empty(steps), [1.0]
-    for h in range(steps):
-        mean[h] = model.intercept + np.dot(ar, z) + np.dot(ma, e)
-        if len(ar):
-            z = [mean[h], *z[:-1]]
-        if len(ma):
-            e = [0.0, *e[:-1]]
-        psi[h] = recent_psi[0]
-        weights = recent_psi[: len(ar)]
-        following = np.dot(ar[: len(weights)], weights) + (ma[h] if h < len(ma) else 0.0)
-        recent_psi = [following, *recent_psi[: max(len(ar) - 1, 0)]]
-    if model.d == 1:
-        mean, psi = model.last_y + np.cumsum(mean), np.cumsum(psi)
-    return mean, model.sigma * np.sqrt(np.cumsum(psi**2))
-
-
-def _forecast_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for model in batch.itertuples():
-            if model.steps < 1:
-                continue
-            mean, error = _path(model, int(model.steps))
-            yield pd.DataFrame(
-                {
-                    "series_id": model.series_id,
-                    "step": np.arange(1, len(mean) + 1),
-                    "mean": mean,
-                    "se": error,
-                }
-            )
-
-
 def forecast(models: DataFrame, unit: str, steps: DataFrame | int) -> DataFrame:
     """``(series_id, step, bucket, forecast, se)`` for the buckets after training.
 
@@ -300,7 +199,7 @@ def forecast(models: DataFrame, unit: str, steps: DataFrame | int) -> DataFrame:
         "series_id", "intercept", "ar", "ma", "d", "sigma", "last_y", "last_z", "last_e", "steps"
     )
     ahead = needed.mapInPandas(
-        _forecast_rows, "series_id string, step bigint, mean double, se double"
+        forecast_rows, "series_id string, step bigint, mean double, se double"
     )
     dated = ahead.join(models.select("series_id", "last_bucket", "season"), "series_id")
     shift = F.make_dt_interval(secs=F.col("step") * UNIT_SECONDS[unit])
@@ -330,7 +229,7 @@ def score_in_sample(models: DataFrame, series: DataFrame, unit: str) -> DataFram
     )
     rows = series.join(known, "series_id").where(F.col("bucket") <= F.col("last_bucket"))
     adjusted = _without_season(rows.withColumn("seen", F.col("y")), unit)
-    change = F.col("y") - F.lag("y", 1).over(IN_ORDER)
+    change = F.col("y") - F.lag("y", 1).over(_in_order())
     z = F.when(F.col("d") == 1, change).otherwise(F.col("y"))
     order = MAX_ORDER
     full = _with_residuals(adjusted.withColumn("z", z).where(F.col("z").isNotNull()), order)
