@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import col
+from ..session import small_frame
 from ..sources.dataset import Dataset
 from . import arima
 from .ar1 import PROBABILITY, detect_anomalies
@@ -109,7 +110,8 @@ def train(dataset: Dataset, specs: Iterable[SeriesSpec], max_order: int = arima.
     fits = []
     for unit, group in _by_unit(specs).items():
         models = arima.fit_arima(fill_gaps(training_series(dataset, group), unit), unit, max_order)
-        days = dataset.spark.createDataFrame(
+        days = small_frame(
+            dataset.spark,
             [(s.series_id, s.table, s.time_column, s.metric, s.start, s.end) for s in group],
             "series_id string, table_name string, time_column string, metric_column string, "
             "training_start date, training_end date",

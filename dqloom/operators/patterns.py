@@ -17,6 +17,7 @@ from ..functions.text import (
     spelling_key,
     violates,
 )
+from ..session import small_frame
 
 MIN_SHARE = 0.05
 COVER = 0.95
@@ -94,9 +95,9 @@ def dominant_shapes(
     clear = [c for c in columns if any(r.column_name == c for r in found)]
     schema = "column_name string, shape string, n bigint, share double, running double"
     if not clear:
-        return df.sparkSession.createDataFrame([], schema)
-    keys = df.sparkSession.createDataFrame(
-        [tuple(r) for r in found], "column_name string, shape_key bigint, total bigint"
+        return small_frame(df.sparkSession, [], schema)
+    keys = small_frame(
+        df.sparkSession, found, "column_name string, shape_key bigint, total bigint"
     )
     shapes = (
         _shape_keys(df, clear, with_shape=True)

@@ -12,13 +12,15 @@ from functools import reduce
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import quote_name
 from ..operators import anomalies, checks, samples
 from ..operators.checks import fused_counts, footer_null_counts, is_atomic
+from ..session import small_frame
 from ..sources.catalog import key_column
 from ..sources.dataset import Dataset, has_table
-from ..sources.store import RESULT_SCHEMA, SAMPLE_SCHEMA
+from ..sources.store import RESULT_SCHEMA, RULE_SCHEMA, SAMPLE_SCHEMA
 from .generate import (
     ANOMALY_DETECTION,
     FLAGS_VIEW,
@@ -29,6 +31,16 @@ from .generate import (
 
 WORKERS = 10
 
+# What results and samples repeat about a rule.
+IDENTITY_FIELDS = (
+    "rule_id",
+    "source_project_id",
+    "source_dataset_id",
+    "source_table_id",
+    "metric_column",
+    "rule_family",
+)
+
 OUTCOME_SCHEMA = (
     "rule_id string, failed_count bigint, error string, seconds double, "
     "finished_at timestamp"
@@ -277,7 +289,7 @@ def with_status(counts: DataFrame) -> DataFrame:
 
 def to_results(counts: DataFrame, rules: DataFrame, run_id: str) -> DataFrame:
     """Result rows of one run; ``failed_rows`` only where the rule failed."""
-    joined = with_status(counts).join(F.broadcast(rules), "rule_id")
+    joined = with_status(counts).join(rules, "rule_id")
     fields = {
         "result_id": F.sha2(F.concat_ws("|", F.lit(run_id), "rule_id"), 256),
         "execution_timestamp": F.col("finished_at"),
@@ -342,7 +354,7 @@ def sample_for(run: _Run, rule: Row) -> DataFrame | None:
 
 
 def _to_samples(dataset: Dataset, rows: list[tuple], results: DataFrame, rules: DataFrame) -> DataFrame:
-    found = dataset.spark.createDataFrame(rows, "rule_id string, source_id string")
+    found = small_frame(dataset.spark, rows, "rule_id string, source_id string")
     joined = found.join(
         results.select("rule_id", "result_id", "execution_timestamp"), "rule_id"
     ).join(rules, "rule_id")
@@ -370,7 +382,8 @@ def run_rules(
     run_id = run_id or dt.datetime.now(dt.timezone.utc).isoformat()
     listed = rules.collect()
     by_id = {r.rule_id: r for r in listed}
-    defined = spark.createDataFrame(listed, rules.schema) if listed else rules
+    named = T.StructType([f for f in RULE_SCHEMA if f.name in IDENTITY_FIELDS])
+    defined = small_frame(spark, [[r[n] for n in named.names] for r in listed], named)
     with ThreadPoolExecutor(workers) as pool:
         run = _Run(dataset, models, as_of, pool)
         outcomes = [o for f in _submit_all(run, listed) for o in f.result()]
@@ -378,10 +391,10 @@ def run_rules(
         rows, notes = _sample_failing(run, failing) if with_samples else ([], {})
     for frame in [*run.bad_values.values(), *([run.flags] if run.flags is not None else [])]:
         frame.unpersist()
-    counts = spark.createDataFrame(outcomes, OUTCOME_SCHEMA)
+    counts = small_frame(spark, outcomes, OUTCOME_SCHEMA)
     results = to_results(counts, defined, run_id)
     if notes:
-        noted = spark.createDataFrame(list(notes.items()), "rule_id string, note string")
+        noted = small_frame(spark, notes.items(), "rule_id string, note string")
         results = (
             results.join(noted, "rule_id", "left")
             .withColumn("error_message", F.coalesce("error_message", "note"))

@@ -14,6 +14,7 @@ from ..functions.names import describe, quoted, quoted_value, readable
 from ..functions.text import ODD_CHARACTER
 from ..operators import anomalies
 from ..operators.patterns import dominant_patterns, dominant_shapes, length_bounds
+from ..session import side_by_side, small_frame
 from ..sources.catalog import column_catalog
 from ..sources.dataset import Dataset, list_tables
 from ..sources.store import RULE_SCHEMA
@@ -25,6 +26,9 @@ STRING_FORMATTING = "String Formatting"
 ANOMALY_DETECTION = "Anomaly Detection"
 REFERENTIAL_INTEGRITY = "Referential Integrity"
 
+# Tables profiled at the same time.
+TABLE_WORKERS = 5
+
 # View of flagged buckets that stored anomaly rules count in.
 FLAGS_VIEW = "dq_anomaly_flags"
 
@@ -111,19 +115,20 @@ def profile_patterns(dataset: Dataset, inconsistencies: bool = True) -> DataFram
     """
     spark = dataset.spark
     schema = "table_name string, column_name string, regex string, low double, high double"
-    found = []
     strings = column_catalog(dataset).where("role = 'string'")
-    for table, group in _grouped(strings).items():
-        shapes = dominant_shapes(dataset[table], group)
+
+    def profile(table_columns: tuple[str, list[str]]) -> list[tuple]:
+        table, columns = table_columns
+        shapes = dominant_shapes(dataset[table], columns)
         regexes = {r.column_name: r.regex for r in dominant_patterns(shapes).collect()}
-        unclear = [c for c in group if c not in regexes]
+        unclear = [c for c in columns if c not in regexes]
         bounds = {}
         if unclear and inconsistencies:
             bounds = length_bounds(dataset[table], unclear).first().asDict()
-        for column in group:
-            low, high = bounds.get(column) or (None, None)
-            found.append((table, column, regexes.get(column), low, high))
-    return spark.createDataFrame(found, schema)
+        return [(table, c, regexes.get(c), *(bounds.get(c) or (None, None))) for c in columns]
+
+    found = side_by_side(spark, profile, _grouped(strings).items(), TABLE_WORKERS)
+    return small_frame(spark, [row for rows in found for row in rows], schema)
 
 
 def _grouped(columns: DataFrame) -> dict[str, list[str]]:
@@ -184,8 +189,9 @@ def format_rules(catalog: DataFrame, dataset: Dataset, patterns: DataFrame) -> D
 
 def reference_rules(foreign_keys: Iterable[ForeignKey], dataset: Dataset) -> DataFrame:
     """One rule per declared key whose two tables exist."""
-    declared = dataset.spark.createDataFrame(
-        list(foreign_keys),
+    declared = small_frame(
+        dataset.spark,
+        foreign_keys,
         "table_name string, column_name string, ref_table string, ref_column string",
     )
     tables = list_tables(dataset)
@@ -230,10 +236,15 @@ def train_models(
     metrics: Mapping[str, str] | None = None,
 ) -> DataFrame | None:
     """Models of every table with a time column and a metric."""
-    specs = [
-        anomalies.series_spec(dataset[table], table, time_column, metric, as_of, through_max)
-        for table, (time_column, metric) in anomalies.series_columns(dataset, metrics).items()
-    ]
+    chosen = anomalies.series_columns(dataset, metrics)
+
+    def spec(item: tuple[str, tuple[str, str]]) -> anomalies.SeriesSpec:
+        table, (time_column, metric) = item
+        return anomalies.series_spec(
+            dataset[table], table, time_column, metric, as_of, through_max
+        )
+
+    specs = side_by_side(dataset.spark, spec, chosen.items(), TABLE_WORKERS)
     return anomalies.train(dataset, specs)
 
 

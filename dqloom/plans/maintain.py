@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_frame
 from ..sources.store import RULE_SCHEMA
 from .generate import rule_id
 
@@ -71,5 +72,5 @@ def update_rule(rules: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def delete_rule(rules: DataFrame, ids: Iterable[str]) -> DataFrame:
-    gone = rules.sparkSession.createDataFrame([(i,) for i in ids], "rule_id string")
+    gone = small_frame(rules.sparkSession, [(i,) for i in ids], "rule_id string")
     return rules.join(gone, "rule_id", "left_anti")

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Settings the engine counts on. Sizes (shuffle partitions, memory, split size) are
 # left to the cluster: AQE coalesces whatever the cluster starts with.
@@ -50,3 +56,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="dqloom-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def small_frame(
+    spark: SparkSession, rows: Iterable[tuple], schema: T.StructType | str
+) -> DataFrame:
+    """Driver-side metadata as a local relation, which plans fold without a job."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows)) or [()] * len(schema)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: Iterable, workers: int) -> list:
+    """``work`` on each item, their independent jobs submitted at the same time."""
+    with ThreadPoolExecutor(workers) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..session import small_frame
 from .dataset import Dataset
 
 CATALOG_SCHEMA = T.StructType(
@@ -44,7 +45,7 @@ def column_catalog(dataset: Dataset) -> DataFrame:
         for table, df in dataset.tables.items()
         for ordinal, f in enumerate(df.schema.fields, start=1)
     ]
-    return dataset.spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return small_frame(dataset.spark, rows, CATALOG_SCHEMA)
 
 
 def key_column(df: DataFrame) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import quote_name
+from ..session import small_frame
 
 
 @dataclass
@@ -105,7 +106,7 @@ def has_table(dataset: Dataset, name: str) -> bool:
 def list_tables(dataset: Dataset) -> DataFrame:
     """One row per base table: ``table_name``."""
     rows = [(t,) for t in dataset.tables]
-    return dataset.spark.createDataFrame(rows, "table_name string")
+    return small_frame(dataset.spark, rows, "table_name string")
 
 
 def row_counts(dataset: Dataset) -> DataFrame:

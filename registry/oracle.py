@@ -265,7 +265,7 @@ EVENTS = filled("events", "ts", "value", "hour", "sum")
 
 ORACLE["t7_resample_events_minutes"] = (
     f"WITH {filled('events', 'ts', 'value', 'minute', 'avg')} "
-    "SELECT CAST(bucket AS VARCHAR) AS bucket, round(y, 4) AS y, filled FROM filled"
+    "SELECT CAST(bucket AS VARCHAR) AS bucket, round(y, 8) AS y, filled FROM filled"
 )
 SEASON = "round(y - avg(y) OVER (PARTITION BY {phase}) + avg(y) OVER (), {digits}) AS y FROM filled"
 ORACLE["t8_deseasonalize_events"] = (

@@ -14,6 +14,7 @@ from dqloom.operators import anomalies, ar1, arima, checks, patterns, samples, s
 from dqloom.plans import generate, maintain, reports
 from dqloom.plans.execute import failures, run_rules, table_counts
 from dqloom.plans.pipeline import generate_into, run_stored
+from dqloom.session import small_frame
 from dqloom.sources import catalog, store
 from dqloom.sources import dataset as sources
 from dqloom.sources.dataset import Dataset
@@ -301,7 +302,7 @@ def _events_hourly(ds: Dataset, how: str = "sum") -> DataFrame:
 @query("t7_resample_events_minutes", "events")
 def _(ds: Dataset):
     filled = series.resample(ds["events"], "events", "ts", "value", "minute")
-    return filled.select(text("bucket"), rounded("y", 4), "filled")
+    return filled.select(text("bucket"), rounded("y", 8), "filled")
 
 
 @query("t8_deseasonalize_events", "events")
@@ -560,7 +561,8 @@ def _(ds: Dataset):
 def _base_rules(ds: Dataset) -> DataFrame:
     """Null, uniqueness and referential rules, one known format, emptiness for the rest."""
     columns = catalog.column_catalog(ds)
-    known = ds.spark.createDataFrame(
+    known = small_frame(
+        ds.spark,
         [("orders_dirty", "o_orderpriority", PRIORITY, None, None)],
         "table_name string, column_name string, regex string, low double, high double",
     )
@@ -611,7 +613,8 @@ def _(ds: Dataset):
     rules = _base_rules(ds).where("failure_predicate is not null").collect()
     names = {r.rule_id: (r.metric_column, r.rule_family) for r in rules}
     counts = table_counts(ds, "orders_dirty", rules)
-    listed = ds.spark.createDataFrame(
+    listed = small_frame(
+        ds.spark,
         [(k, *v) for k, v in names.items()], "rule_key string, metric_column string, rule_family string"
     )
     return counts.join(F.broadcast(listed), "rule_key").select("metric_column", "rule_family", "failed_count")
