@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Named formats, in the regex subset shared by Java and RE2.
 NAMED_FORMATS = {
     "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\z",
-    "phone": r"^\+?[0-9]{1,3}?[ .-]?\(?[0-9]{2,4}\)?([ .-]?[0-9]{2,4}){2,4}\z",
+    "phone": r"^(\+?[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?([ .-]?[0-9]{2,4}){2,4}\z",
     "first_last_name": r"^\p{Lu}[\p{L}'-]+ \p{Lu}[\p{L}'-]+\z",
     "no_special_characters": r"^[\p{L}\p{M}' -]+\z",
     "street_address": r"^[0-9]+[A-Za-z]? [\p{L}0-9.' -]+(, [\p{L}0-9.' -]+)*\z",

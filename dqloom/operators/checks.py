@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from ..functions.names import col
 from ..functions.text import is_empty, violates
 
-# Counters per aggregation. Predicates are sorted by column before they are cut into
-# blocks, so the blocks of a very wide table read different columns.
-BLOCK = 100
+# Counters per aggregation: with many more, the generated method grows past what the
+# JIT compiles. Callers order predicates by column, so blocks read different columns.
+BLOCK = 32
 
 
 def count_failures(df: DataFrame, predicate: Column) -> DataFrame:
@@ -35,7 +35,11 @@ def empty_check(df: DataFrame, column: str) -> DataFrame:
 
 
 def fused_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
-    """``(rule_key, failed_count)`` for all predicates of a table from one scan."""
+    """``(rule_key, failed_count)`` for all predicates of a table.
+
+    One scan for a table of up to ``BLOCK`` predicates; wider tables are scanned in
+    blocks, side by side in the same job.
+    """
     items = list(predicates.items())
     blocks = [items[i : i + BLOCK] for i in range(0, len(items), BLOCK)]
     return reduce(

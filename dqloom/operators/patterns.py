@@ -17,7 +17,7 @@ from ..functions.text import (
     spelling_key,
     violates,
 )
-from ..session import small_frame
+from ..session import broadcast_if_small, small_frame
 
 MIN_SHARE = 0.05
 COVER = 0.95
@@ -152,8 +152,9 @@ def pattern_violations(df: DataFrame, column: str, regex: str) -> DataFrame:
 def case_variants(df: DataFrame, column: str) -> DataFrame:
     """``(spelling_key, variants, n)`` of values that differ only by case or outer blanks.
 
-    A first pass over fixed-width hashes finds the keys with more than one spelling;
-    only rows of those keys are then grouped by their text.
+    A first pass over fixed-width hashes finds the keys with more than one spelling.
+    Those keys are usually few and then broadcast, so the second pass shuffles the text
+    of varied rows only.
     """
     value = col(column)
     key = spelling_key(value)
@@ -172,13 +173,13 @@ def case_variants(df: DataFrame, column: str) -> DataFrame:
         .select("k1", "k2")
     )
     spellings = (
-        rows.select(*key_hashes, key.alias("spelling_key"), value.alias("value"))
-        .join(varied, ["k1", "k2"], "left_semi")
-        .groupBy("spelling_key", "value")
+        rows.select(*key_hashes, value.alias("value"))
+        .join(broadcast_if_small(varied), ["k1", "k2"], "left_semi")
+        .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return (
-        spellings.groupBy("spelling_key")
+        spellings.groupBy(spelling_key(F.col("value")).alias("spelling_key"))
         .agg(F.count(F.lit(1)).alias("variants"), F.sum("n").alias("n"))
         .where("variants > 1")
     )

@@ -20,6 +20,9 @@ from .series import bucket_of
 
 SAMPLE_SIZE = 10
 
+# Types whose values survive the way to the driver and back as literals.
+PUSHED_TYPES = (T.IntegralType, T.StringType, T.DateType, T.DecimalType, T.BooleanType)
+
 
 def order_value(df: DataFrame, column: str) -> Column:
     """The column itself, or its JSON text where its type has no order."""
@@ -49,16 +52,24 @@ def sample_format(
     return sample_where(df, key, violates(col(column), regex), n)
 
 
+def smallest_values(bad: DataFrame, n: int = SAMPLE_SIZE) -> list:
+    """At most ``n`` values of a frame of failing values."""
+    return [r.value for r in bad.select("value").orderBy("value").limit(n).collect()]
+
+
 def sample_values(
     df: DataFrame, key: str, column: str, bad: DataFrame, n: int = SAMPLE_SIZE
 ) -> DataFrame:
     """First rows by (value, id) among rows holding one of the ``bad`` values.
 
-    Each bad value has at least one row, so the ``n`` smallest values hold the answer:
-    the table is never shuffled, only matched against ``n`` broadcast values.
+    Each bad value has at least one row, so the ``n`` smallest values hold the answer.
+    As literals they are pushed to the scan, and the table is never shuffled.
     """
-    smallest = bad.select("value").orderBy("value").limit(n)
-    rows = df.join(F.broadcast(smallest), col(column) == smallest["value"], "left_semi")
+    if isinstance(bad.schema["value"].dataType, PUSHED_TYPES):
+        rows = df.where(col(column).isin(smallest_values(bad, n)))
+    else:
+        smallest = bad.select("value").orderBy("value").limit(n)
+        rows = df.join(F.broadcast(smallest), col(column) == smallest["value"], "left_semi")
     return _first(rows, key, n, col(column))
 
 

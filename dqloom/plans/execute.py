@@ -78,7 +78,9 @@ def _outcome(rule: Row, count: int | None, error: Exception | None, started: flo
 def _predicate(df: DataFrame, rule: Row) -> Column:
     """The rule's row predicate, checked against the table without running a job."""
     predicate = F.expr(rule.failure_predicate)
-    df.select(predicate)
+    found = df.select(predicate).schema[0].dataType
+    if not isinstance(found, T.BooleanType):
+        raise TypeError(f"failure predicate is {found.simpleString()}, not boolean")
     return predicate
 
 
@@ -90,7 +92,7 @@ def _runnable(df: DataFrame, rules: Iterable[Row]) -> tuple[dict[str, Column], d
     """
     good: dict[str, Column] = {}
     bad: dict[str, Exception] = {}
-    for rule in rules:
+    for rule in _by_column(rules):
         try:
             good[rule.rule_id] = _predicate(df, rule)
         except Exception as error:  # noqa: BLE001 - one rule never stops the others
@@ -131,7 +133,11 @@ def _footer_columns(run: _Run, table: str, rules: Iterable[Row]) -> dict[str, st
 def table_counts(dataset: Dataset, table: str, rules: Iterable[Row]) -> DataFrame:
     """``(rule_key, failed_count)`` of all row rules of a table, one scan."""
     df = dataset[table]
-    return fused_counts(df, {r.rule_id: _predicate(df, r) for r in rules})
+    return fused_counts(df, {r.rule_id: _predicate(df, r) for r in _by_column(rules)})
+
+
+def _by_column(rules: Iterable[Row]) -> list[Row]:
+    return sorted(rules, key=lambda r: r.metric_column)
 
 
 def _run_footer_rules(run: _Run, table: str, rules: list[Row], columns: dict[str, str]) -> list[tuple]:
@@ -148,20 +154,30 @@ def _run_row_rules(run: _Run, table: str, rules: list[Row]) -> list[tuple]:
     df = run.dataset[table]
     started = time.time()
     good, bad = _runnable(df, rules)
-    counts: dict[str, int] = {}
-    try:
-        if good:
-            rows = fused_counts(df, good).collect()
-            counts = {r.rule_key: r.failed_count for r in rows}
-    except Exception:  # noqa: BLE001 - find the rule that broke the shared job
-        for rule_id, predicate in good.items():
-            try:
-                counts[rule_id] = checks.count_failures(df, predicate).first().failed_count
-            except Exception as error:  # noqa: BLE001
-                bad[rule_id] = error
+    counts, broken = _count_together(df, good)
+    bad.update(broken)
     return [_outcome(r, counts.get(r.rule_id), bad.get(r.rule_id), started) for r in rules]
 
 
+def _count_together(
+    df: DataFrame, predicates: dict[str, Column]
+) -> tuple[dict[str, int], dict[str, Exception]]:
+    """Counts from one job; if a row breaks it, halves are tried until the rule is found."""
+    if not predicates:
+        return {}, {}
+    try:
+        rows = fused_counts(df, predicates).collect()
+        return {r.rule_key: r.failed_count for r in rows}, {}
+    except Exception as error:  # noqa: BLE001
+        if len(predicates) == 1:
+            return {}, dict.fromkeys(predicates, error)
+    items = list(predicates.items())
+    middle = len(items) // 2
+    counts, broken = _count_together(df, dict(items[:middle]))
+    more_counts, more_broken = _count_together(df, dict(items[middle:]))
+    return {**counts, **more_counts}, {**broken, **more_broken}
+
+
 # --- rules with a job of their own -----------------------------------------------
 
 

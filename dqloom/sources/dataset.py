@@ -49,7 +49,7 @@ class Dataset:
 def _footer_reader(spark: SparkSession):
     """Reads opened here use the parquet reader that answers counts from footers."""
     key = "spark.sql.sources.useV1SourceList"
-    before = spark.conf.get(key, "")
+    before = spark.conf.get(key)
     without = ",".join(s for s in before.split(",") if s and s != "parquet")
     spark.conf.set(key, without)
     try:
