@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,12 +30,10 @@ SHAPE_CLASSES = (
     (r"[\p{Lo}\p{Lm}\p{Lt}\p{M}]+", "o"),
     (SPACES, " "),
 )
-ASCII_CLASSES = (
-    (r"[0-9]+", "9"),
-    (r"[A-Z]+", "A"),
-    (r"[a-z]+", "a"),
-    (SPACES, " "),
-)
+# The same classes for ASCII: every character to its letter, then runs to one letter.
+ASCII_FROM = string.ascii_lowercase + string.ascii_uppercase + string.digits + "\t\n\x0b\f\r"
+ASCII_TO = "a" * 26 + "A" * 26 + "9" * 10 + " " * 5
+LETTER_RUN = r"([aA9 ])\1+"
 
 
 def violates(value: Column, regex: str) -> Column:
@@ -54,21 +54,17 @@ def spelling_key(value: Column) -> Column:
     return F.lower(F.trim(value))
 
 
-def _mask(value: Column, classes: tuple[tuple[str, str], ...]) -> Column:
-    for run, letter in classes:
-        value = F.regexp_replace(value, run, letter)
-    return value
-
-
 def shape_mask(value: Column) -> Column:
     """Shape of the whole value: each run of one character class becomes one letter.
 
-    Plain ASCII values take the cheaper classes, which give the same shape.
+    Plain ASCII values, as codes and names mostly are, take a cheaper way to the same shape.
     """
-    ascii_only = F.octet_length(value) == F.length(value)
-    return F.when(ascii_only, _mask(value, ASCII_CLASSES)).otherwise(
-        _mask(value, SHAPE_CLASSES)
-    )
+    letters = F.translate(value, ASCII_FROM, ASCII_TO)
+    ascii_shape = F.regexp_replace(letters, LETTER_RUN, "$1")
+    shape = value
+    for run, letter in SHAPE_CLASSES:
+        shape = F.regexp_replace(shape, run, letter)
+    return F.when(F.octet_length(value) == F.length(value), ascii_shape).otherwise(shape)
 
 
 def shape_regex(shape: Column) -> Column:

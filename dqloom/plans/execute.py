@@ -24,7 +24,6 @@ from ..sources.store import RESULT_SCHEMA, RULE_SCHEMA, SAMPLE_SCHEMA
 from .generate import (
     ANOMALY_DETECTION,
     FLAGS_VIEW,
-    NULL_CHECK,
     REFERENTIAL_INTEGRITY,
     UNIQUENESS,
 )
@@ -75,44 +74,62 @@ def _outcome(rule: Row, count: int | None, error: Exception | None, started: flo
 # --- which rules can share a scan ------------------------------------------------
 
 
+def _is_null_test(rule: Row) -> bool:
+    """Plain NULL tests cannot fail on a row, and footers may answer them."""
+    return rule.failure_predicate == f"{quote_name(rule.metric_column)} IS NULL"
+
+
 def _predicate(df: DataFrame, rule: Row) -> Column:
     """The rule's row predicate, checked against the table without running a job."""
     predicate = F.expr(rule.failure_predicate)
-    found = df.select(predicate).schema[0].dataType
-    if not isinstance(found, T.BooleanType):
-        raise TypeError(f"failure predicate is {found.simpleString()}, not boolean")
+    _check_boolean(df, [predicate])
     return predicate
 
 
+def _check_boolean(df: DataFrame, predicates: Iterable[Column]) -> None:
+    for field_ in df.select(*_named(predicates)).schema:
+        if not isinstance(field_.dataType, T.BooleanType):
+            raise TypeError(f"failure predicate is {field_.dataType.simpleString()}, not boolean")
+
+
 def _runnable(df: DataFrame, rules: Iterable[Row]) -> tuple[dict[str, Column], dict[str, Exception]]:
     """Predicates by rule id, and the errors of those that cannot run.
 
     Bad names fail at analysis. Bad regexes only fail when a row meets them, so all
     predicates are tried together on one row, and one by one if that fails.
     """
-    good: dict[str, Column] = {}
-    bad: dict[str, Exception] = {}
-    for rule in _by_column(rules):
-        try:
-            good[rule.rule_id] = _predicate(df, rule)
-        except Exception as error:  # noqa: BLE001 - one rule never stops the others
-            bad[rule.rule_id] = error
+    rules = _by_column(rules)
     try:
-        _try_one_row(df, good.values())
+        good = {r.rule_id: F.expr(r.failure_predicate) for r in rules}
+        _check_boolean(df, good.values())
+        bad: dict[str, Exception] = {}
+    except Exception:  # noqa: BLE001 - one rule never stops the others
+        good, bad = {}, {}
+        for rule in rules:
+            try:
+                good[rule.rule_id] = _predicate(df, rule)
+            except Exception as error:  # noqa: BLE001
+                bad[rule.rule_id] = error
+    tried = [r.rule_id for r in rules if r.rule_id in good and not _is_null_test(r)]
+    try:
+        _try_one_row(df, [good[i] for i in tried])
     except Exception:  # noqa: BLE001
-        for rule_id, predicate in list(good.items()):
+        for rule_id in tried:
             try:
-                _try_one_row(df, [predicate])
+                _try_one_row(df, [good[rule_id]])
             except Exception as error:  # noqa: BLE001
                 bad[rule_id] = error
                 del good[rule_id]
     return good, bad
 
 
-def _try_one_row(df: DataFrame, predicates: Iterable[Column]) -> None:
-    named = [p.alias(f"p{i}") for i, p in enumerate(predicates)]
-    if named:
-        df.limit(1).select(*named).collect()
+def _try_one_row(df: DataFrame, predicates: list[Column]) -> None:
+    if predicates:
+        df.limit(1).select(*_named(predicates)).collect()
+
+
+def _named(predicates: Iterable[Column]) -> list[Column]:
+    return [p.alias(f"p{i}") for i, p in enumerate(predicates)]
 
 
 def _footer_columns(run: _Run, table: str, rules: Iterable[Row]) -> dict[str, str]:
@@ -123,8 +140,7 @@ def _footer_columns(run: _Run, table: str, rules: Iterable[Row]) -> dict[str, st
     return {
         r.rule_id: r.metric_column
         for r in rules
-        if r.rule_family == NULL_CHECK
-        and r.failure_predicate == f"{quote_name(r.metric_column)} IS NULL"
+        if _is_null_test(r)
         and r.metric_column in fields
         and is_atomic(fields[r.metric_column])
     }
@@ -133,7 +149,7 @@ def _footer_columns(run: _Run, table: str, rules: Iterable[Row]) -> dict[str, st
 def table_counts(dataset: Dataset, table: str, rules: Iterable[Row]) -> DataFrame:
     """``(rule_key, failed_count)`` of all row rules of a table, one scan."""
     df = dataset[table]
-    return fused_counts(df, {r.rule_id: _predicate(df, r) for r in _by_column(rules)})
+    return fused_counts(df, {r.rule_id: F.expr(r.failure_predicate) for r in _by_column(rules)})
 
 
 def _by_column(rules: Iterable[Row]) -> list[Row]:
