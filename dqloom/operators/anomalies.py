@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import col
-from ..session import small_frame
+from ..session import cut_lineage, small_frame
 from ..sources.dataset import Dataset
 from . import arima
 from .ar1 import PROBABILITY, detect_anomalies
@@ -147,7 +147,7 @@ def flag_series(
                 for s in group
             ],
         )
-        scored.append(arima.score_ahead(of_unit, recent, unit))
+        scored.append(arima.score_ahead(of_unit, cut_lineage(recent), unit))
         trained = [s for s in group if s.end >= (as_of or dt.date.today())]
         if trained:
             full = fill_gaps(training_series(dataset, trained), unit)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .series import UNIT_SECONDS
+from .series import steps_between
 
 PROBABILITY = 0.99
 
@@ -58,8 +58,7 @@ def score_in_sample(models: DataFrame, series: DataFrame) -> DataFrame:
 def score_ahead(models: DataFrame, recent: DataFrame, unit: str) -> DataFrame:
     """h-step forecasts of the buckets after the training window."""
     rows = recent.join(models, "series_id").where(F.col("bucket") > F.col("last_bucket"))
-    seconds = F.timestamp_diff("SECOND", F.col("last_bucket"), F.col("bucket"))
-    h = (seconds / UNIT_SECONDS[unit]).alias("h")
+    h = steps_between(F.col("last_bucket"), F.col("bucket"), unit)
     mean = F.col("intercept") / (1 - F.col("phi"))
     forecast = mean + F.pow("phi", h) * (F.col("last_y") - mean)
     variance = (1 - F.pow("phi", 2 * h)) / (1 - F.col("phi") * F.col("phi"))

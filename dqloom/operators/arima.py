@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from ..session import cut_lineage
 from .arima_solve import choose_order, forecast_rows, solve_long
-from .series import UNIT_SECONDS, phase_of, season_offsets
+from .series import UNIT_SECONDS, phase_of, season_offsets, steps_between
 
 MAX_ORDER = 5
 # 5% point of the level-stationarity statistic, and its longest lag,
@@ -116,8 +116,7 @@ def fit_arima(
 
     Series that are too short, constant, or fit no stationary model have no row.
     """
-    # several passes follow: the source behind the series is read once, here, and the
-    # later cuts keep frames of at most some thousand rows per series from being redone
+    # several passes follow: the cuts keep what lies behind them from being redone
     series = cut_lineage(series.select("series_id", "bucket", "y"))
     phases = season_offsets(series, unit) if seasonal and unit in PHASED else None
     season = _season_maps(series, phases)
@@ -213,10 +212,8 @@ def score_ahead(models: DataFrame, recent: DataFrame, unit: str) -> DataFrame:
     """Forecasts joined to the buckets of ``recent`` that follow the training window."""
     after = recent.join(models.select("series_id", "last_bucket"), "series_id")
     after = after.where(F.col("bucket") > F.col("last_bucket"))
-    seconds = F.timestamp_diff("SECOND", F.col("last_bucket"), F.col("bucket"))
-    horizon = after.groupBy("series_id").agg(
-        F.max((seconds / UNIT_SECONDS[unit]).cast("bigint")).alias("steps")
-    )
+    steps = steps_between(F.col("last_bucket"), F.col("bucket"), unit)
+    horizon = after.groupBy("series_id").agg(F.max(steps).alias("steps"))
     expected = forecast(models, unit, horizon).drop("step")
     return recent.select("series_id", "bucket", "y").join(expected, ["series_id", "bucket"])
 

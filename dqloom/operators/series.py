@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.names import col
+from ..session import cut_lineage
 from ..sources.catalog import role
 
 # Parts of names that mark a metric, in order of preference.
@@ -64,6 +65,17 @@ def bucket_of(time: Column, unit: str) -> Column:
     return day + F.make_dt_interval(hours=F.hour(moment), mins=minutes)
 
 
+def seconds_of(moment: Column) -> Column:
+    """Whole seconds of a zone-free timestamp, for differences in no zone's clock."""
+    day = F.unix_date(F.to_date(moment)).cast("bigint") * 86400
+    return day + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+
+
+def steps_between(start: Column, end: Column, unit: str) -> Column:
+    """Number of buckets from one bucket to another."""
+    return ((seconds_of(end) - seconds_of(start)) / UNIT_SECONDS[unit]).cast("bigint")
+
+
 def max_date(df: DataFrame, time_column: str) -> DataFrame:
     """One row: the newest date. ``max`` of the raw column, so it runs on one column."""
     return df.agg(F.to_date(F.max(col(time_column))).alias("max_date"))
@@ -114,10 +126,8 @@ def frequency_coverage(df: DataFrame, time_column: str) -> DataFrame:
     minutes = minutes.distinct()
     first, last = F.min("bucket"), F.max("bucket")
     shares = []
-    for unit, seconds in UNIT_SECONDS.items():
-        span = F.timestamp_diff(
-            unit.upper(), bucket_of(first, unit), bucket_of(last, unit)
-        )
+    for unit in UNIT_SECONDS:
+        span = steps_between(bucket_of(first, unit), bucket_of(last, unit), unit)
         if unit == "minute":
             found = F.count(F.lit(1))
         else:
@@ -128,11 +138,15 @@ def frequency_coverage(df: DataFrame, time_column: str) -> DataFrame:
 
 def infer_frequency(df: DataFrame, time_column: str) -> DataFrame:
     """One row ``unit``: the finest unit whose buckets are covered, else day."""
-    shares = frequency_coverage(df, time_column)
+    return frequency_coverage(df, time_column).select(finest_covered().alias("unit"))
+
+
+def finest_covered() -> Column:
+    """Unit chosen from the shares of ``frequency_coverage``."""
     choice = F.lit("day")
     for unit in reversed(UNIT_SECONDS):
         choice = F.when(F.col(unit) >= MIN_COVERAGE, F.lit(unit)).otherwise(choice)
-    return shares.select(choice.alias("unit"))
+    return choice
 
 
 def bucketed(
@@ -150,8 +164,10 @@ def fill_gaps(series: DataFrame, unit: str) -> DataFrame:
     """``(series_id, bucket, y, filled)`` with every bucket, gaps interpolated linearly.
 
     The value after a gap is looked up in a window of falling order: a running
-    ``last`` is linear there, where ``first`` over the rows ahead is quadratic.
+    ``last`` is linear there, where ``first`` over the rows ahead is quadratic. The
+    buckets are cut off from their source first: they are read several times from here.
     """
+    series = cut_lineage(series)
     step = F.expr(f"interval 1 {unit}")
     edges = series.groupBy("series_id").agg(
         F.min("bucket").alias("low"), F.max("bucket").alias("high")
@@ -166,7 +182,8 @@ def fill_gaps(series: DataFrame, unit: str) -> DataFrame:
         by_series.orderBy(F.desc("bucket")).rowsBetween(*so_far)
     )
     full = full.withColumn("before", before).withColumn("after", after)
-    position = _seconds("before.bucket", "bucket") / _seconds("before.bucket", "after.bucket")
+    start = seconds_of(F.col("before.bucket"))
+    position = (seconds_of(F.col("bucket")) - start) / (seconds_of(F.col("after.bucket")) - start)
     line = F.col("before.y") + (F.col("after.y") - F.col("before.y")) * position
     return full.select(
         "series_id",
@@ -176,10 +193,6 @@ def fill_gaps(series: DataFrame, unit: str) -> DataFrame:
     )
 
 
-def _seconds(start: str, end: str) -> Column:
-    return F.timestamp_diff("SECOND", F.col(start), F.col(end)).cast("double")
-
-
 def resample(
     df: DataFrame, series_id: str, time_column: str, metric: str, unit: str, how: str = "avg"
 ) -> DataFrame:

@@ -22,6 +22,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # count(*) and count(column) are answered from parquet footers where possible
     "spark.sql.parquet.aggregatePushdown": "true",
+    # checkpoints go when the frames that read them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # independent rule jobs share the executors instead of queueing
     "spark.scheduler.mode": "FAIR",
 }
@@ -41,21 +43,25 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share; a new temporary one only in local mode."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return tempfile.mkdtemp(prefix="dqloom-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the folder the cluster names.
+    """Reliable checkpoint of ``df`` in the shared folder.
 
     Used where several passes read the same derived rows, so a lost executor costs a
     read of the checkpoint and not another scan of the source.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="dqloom-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -14,7 +13,7 @@ from dqloom.operators import anomalies, ar1, arima, checks, patterns, samples, s
 from dqloom.plans import generate, maintain, reports
 from dqloom.plans.execute import failures, run_rules, table_counts
 from dqloom.plans.pipeline import generate_into, run_stored
-from dqloom.session import small_frame
+from dqloom.session import cut_lineage, shared_folder, small_frame
 from dqloom.sources import catalog, store
 from dqloom.sources import dataset as sources
 from dqloom.sources.dataset import Dataset
@@ -102,11 +101,7 @@ def _(ds: Dataset):
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new store folder: in the cluster's shared folder, or a temporary one in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/dqloom-store-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="dqloom-store-")
+    return f"{shared_folder(spark)}/dqloom-store-{uuid.uuid4().hex}"
 
 
 # --- failure counts --------------------------------------------------------------
@@ -287,10 +282,8 @@ def _(ds: Dataset):
 def _(ds: Dataset):
     def one(table: str, column: str) -> DataFrame:
         shares = series.frequency_coverage(ds[table], column)
-        shares = shares.select(*[rounded(u) for u in shares.columns])
-        unit = series.infer_frequency(ds[table], column)
-        named = shares.withColumn("table_name", F.lit(table))
-        return named.join(unit.withColumn("table_name", F.lit(table)), "table_name")
+        unit = series.finest_covered().alias("unit")
+        return shares.select(F.lit(table).alias("table_name"), *[rounded(u) for u in shares.columns], unit)
 
     return union([one(t, c) for t, c in TIMED.items()])
 
@@ -336,7 +329,7 @@ def _split_events(ds: Dataset) -> tuple[DataFrame, DataFrame]:
     past = series.training_rows(df, "ts", "value", window.training_start, window.training_end)
     trained = series.resample(past, "events", "ts", "value", "hour", "sum")
     recent = series.bucketed(series.recent_rows(df, "ts", EVENTS_AS_OF), "events", "ts", "value", "hour", "sum")
-    return trained, recent
+    return trained, cut_lineage(recent)
 
 
 def _flags_ahead(ds: Dataset) -> DataFrame:

@@ -213,3 +213,14 @@ def test_database_tables_leave_views_out(spark, tmp_path):
     spark.range(1).createOrReplaceTempView("passing")
     assert list(dqloom.load_database(spark, "dq_test").tables) == ["kept"]
     spark.sql("DROP DATABASE dq_test CASCADE")
+
+
+def test_command_line_job(spark, sf_dir, tmp_path, capsys):
+    from dqloom.__main__ import main
+
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(str(tmp_path / "in" / f"{name}.parquet"))
+    main(["--tables", str(tmp_path / "in"), "--store", str(tmp_path / "out"), "--key", "documents.doc_id=labels.doc_id"])
+    assert "source_data is failing" in capsys.readouterr().out
+    families = {r.rule_family for r in store.read_results(spark, str(tmp_path / "out")).collect()}
+    assert "Referential Integrity" in families

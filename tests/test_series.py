@@ -49,6 +49,23 @@ def test_buckets_do_not_depend_on_the_session_zone(spark):
     assert row.day == dt.datetime(2024, 3, 10)
 
 
+def test_gaps_over_a_clock_change(spark):
+    """Neither the grid nor the line may follow the session zone's clock."""
+    start = dt.datetime(2024, 3, 9)
+    rows = [("s", start + dt.timedelta(hours=h), float(h)) for h in range(48) if h % 5 == 0 or h == 47]
+    frame = small_frame(spark, rows, "series_id string, bucket timestamp_ntz, y double")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        filled = series.fill_gaps(frame, "hour").orderBy("bucket").collect()
+        unit = series.infer_frequency(frame, "bucket").first().unit
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.bucket for r in filled] == [start + dt.timedelta(hours=h) for h in range(48)]
+    assert [r.y for r in filled] == pytest.approx(range(48))
+    assert unit == "day"
+
+
 def test_training_window_of_dates_and_of_nothing(spark):
     as_of = dt.date(2024, 6, 10)
     days = small_frame(spark, [(dt.date(2024, 5, 1),), (dt.date(2024, 7, 1),), (None,)], "d date")
