@@ -372,6 +372,26 @@ for _t, _columns in {
         + union([dominant(_t, c) for c in _columns])
         + ") AS g"
     )
+
+
+def pattern(table: str, column: str) -> str:
+    """``(column_name, regex)``: the dominant shapes spelled out as one regex."""
+    regex = r"regexp_replace(shape, '([\\.\[\]{}()*+?^$|])', '\\\1', 'g')"
+    for letter, run in (
+        ("o", r"[\p{Lo}\p{Lm}\p{Lt}\p{M}]+"),
+        ("9", r"\p{Nd}+"),
+        ("A", r"\p{Lu}+"),
+        ("a", r"\p{Ll}+"),
+        (" ", r"[ \t\n\x0B\f\r]+"),
+    ):
+        regex = f"replace({regex}, '{letter}', '{run}')"
+    return (
+        f"SELECT column_name, '^(?:' || string_agg({regex}, '|' ORDER BY n DESC, shape) || ')\\z' AS regex "
+        f"FROM ({dominant(table, column)}) AS g GROUP BY column_name"
+    )
+
+
+ORACLE["g4_dominant_pattern_priority"] = dirty(pattern("orders_dirty", "o_orderpriority"))
 ORACLE["g5_pattern_violations"] = dirty(
     f"SELECT o_orderkey, o_orderpriority FROM orders_dirty WHERE {mask('o_orderpriority')} NOT IN "
     f"(SELECT shape FROM ({dominant('orders_dirty', 'o_orderpriority')}) AS g)"
@@ -471,6 +491,46 @@ ORACLE["k3_format_rules"] = dirty(
         ]
     )
 )
+
+
+def inconsistency_rules(t: str, c: str) -> str:
+    """The rules of one string column: its pattern's, or the four of a column without one."""
+    kept = f"SELECT shape FROM ({dominant(t, c)}) AS g"
+    bounds = (
+        f"SELECT ceil(avg(length({c})) - 3 * stddev_samp(length({c}))) AS low, "
+        f"floor(avg(length({c})) + 3 * stddev_samp(length({c}))) AS high FROM {t}"
+    )
+    variants = (
+        f"SELECT count(*) FROM (SELECT lower(trim({c})) FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 "
+        f"HAVING count(DISTINCT {c}) > 1) AS v"
+    )
+    rows = (
+        ("format", f"SELECT count(*) FROM {t} WHERE {mask(c)} NOT IN ({kept})", "EXISTS"),
+        ("empty", f"SELECT count(*) FROM {t} WHERE length({c}) = 0", "NOT EXISTS"),
+        ("odd_characters", f"SELECT count(*) FROM {t} WHERE regexp_matches({c}, {value(ODD_CHARACTER)})", "NOT EXISTS"),
+        ("odd_length", f"SELECT count(*) FROM {t}, ({bounds}) AS b WHERE length({c}) < low OR length({c}) > high", "NOT EXISTS"),
+        ("case_variants", variants, "NOT EXISTS"),
+    )
+    return union(
+        [
+            f"SELECT {value(t)} AS source_table_id, {value(c)} AS metric_column, "
+            f"{described(case, readable(c), t)} AS rule_description, CAST(({count}) AS BIGINT) AS failed_rows "
+            f"WHERE {exists} ({kept})"
+            for case, count, exists in rows
+        ]
+    )
+
+
+ORACLE["k3_format_rules_with_inconsistencies"] = dirty(
+    union(
+        [
+            inconsistency_rules(t, c)
+            for t in ("documents", "pages", "conversations")
+            for c, kind in columns_of(t)
+            if kind == "string"
+        ]
+    )
+)
 ORACLE["k4_anomaly_rules"] = dirty(
     union(
         [
