@@ -43,14 +43,17 @@ def shape_profile(df: DataFrame, column: str) -> DataFrame:
 
 def _shape_keys(df: DataFrame, columns: Sequence[str], with_shape: bool) -> DataFrame:
     """``(column_name, shape_key[, shape])``, one row per non-null value of each column."""
+    # masks are columns of their own first, so key and shape share one evaluation
+    masks = df.select("*", *[shape_mask(col(c)).alias(f"__shape_{i}") for i, c in enumerate(columns)])
     fields = []
-    for name in columns:
-        shape = shape_mask(col(name))
-        parts = [F.lit(name).alias("column_name"), F.xxhash64(shape).alias("shape_key")]
+    for i, name in enumerate(columns):
+        shape = F.col(f"__shape_{i}")
+        key = F.when(col(name).isNotNull(), F.xxhash64(shape))
+        parts = [F.lit(name).alias("column_name"), key.alias("shape_key")]
         if with_shape:
             parts.append(shape.alias("shape"))
-        fields.append(F.when(col(name).isNotNull(), F.struct(*parts)))
-    return df.select(F.inline(F.array_compact(F.array(*fields))))
+        fields.append(F.struct(*parts))
+    return masks.select(F.inline(F.array(*fields))).where(F.col("shape_key").isNotNull())
 
 
 def _frequent_keys(

@@ -7,6 +7,8 @@ most ``n`` rows per task before anything is shuffled.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,14 +111,16 @@ def sample_table(
 ) -> DataFrame:
     """``(rule_id, source_id_val)`` for all row predicates of a table in one scan.
 
-    Rows carry the small number of each broken rule; the rank filter keeps ``n`` rows
-    per rule in every task before the shuffle.
+    Rows that break no rule are filtered out first. The others carry the small number
+    of each broken rule; the rank filter keeps ``n`` rows per rule in every task before
+    the shuffle.
     """
     ids = list(predicates)
+    failing = df.where(reduce(or_, predicates.values()))
     broken = F.array_compact(
         F.array(*[F.when(p, F.lit(i)) for i, p in enumerate(predicates.values())])
     )
-    hits = df.select(order_value(df, key).alias("id"), F.explode(broken).alias("rule_no"))
+    hits = failing.select(order_value(df, key).alias("id"), F.explode(broken).alias("rule_no"))
     rank = F.row_number().over(
         Window.partitionBy("rule_no").orderBy(F.col("id").asc_nulls_last())
     )
