@@ -31,7 +31,7 @@ def schema(text):
         ("name string, at timestamp_ntz", "at", None),
     ],
 )
-def test_column_choice(columns, time_column, metric):
+def test_column_choice(spark, columns, time_column, metric):
     assert series.pick_time_column(schema(columns)) == time_column
     assert series.pick_metric_column(schema(columns)) == metric
 
