@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm.substring_dedup import without_repeats
+from dqloom.llm import decontamination, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,10 +15,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = without_repeats(documents(spark, sf_dir))
+    kept = substring_dedup.without_repeats(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = decontamination.marked(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.without_repeats(documents(spark, sf_dir))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
