@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import decontamination, substring_dedup, suffix_dedup
+from dqloom.llm import decontamination, quality_rules, substring_dedup, suffix_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.marked(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "rules.*").drop("boilerplate")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.without_repeats(documents(spark, sf_dir))
     return kept.select(
@@ -42,5 +47,6 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_quality_rules": op3_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
