@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import decontamination, quality_rules, substring_dedup, suffix_dedup
+from dqloom.llm import decontamination, quality_rules, substring_dedup, suffix_dedup, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,9 +44,17 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return token_counts.counted(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "tokens.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_token_counts": op10_token_counts,
 }
