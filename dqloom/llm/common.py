@@ -35,22 +35,38 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     This cuts lineage: a lost executor costs a read of these files. What the write
     shuffled is not needed any more, so the driver's garbage is collected, which lets Spark
-    drop those shuffle files. The files go when the application ends.
+    drop those shuffle files. ``instead_of``: stored frames that nothing needs after this
+    one; their files go at once, all others when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    files = _files(spark, path)
+    files[0].deleteOnExit(files[1])
+    for old in instead_of:
+        system, at = _files(spark, old.scratch_path)
+        system.delete(at, True)
     gc.collect()
-    jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    read = spark.read.schema(df.schema).parquet(path)
+    read.scratch_path = path
+    return read
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def packed_spans(spans: DataFrame) -> DataFrame:
+    """``id``, ``rk`` and their spans, each one long: start in the high bits, ``n`` in the last 24."""
+    one = F.shiftleft(F.col("start").cast("long"), 24) + F.col("n")
+    return spans.groupBy("id", "rk").agg(F.collect_set(one).alias("spans"))
 
 
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
@@ -197,6 +213,23 @@ def super_windows(hashes: Windows, sizes: np.ndarray, k: int, m: int) -> dict[st
     }
 
 
+def whole_buckets(frames: Iterator[pd.DataFrame], key: str, weigh, limit: int) -> Iterator[pd.DataFrame]:
+    """Rows sorted by ``key`` in pieces of whole keys that weigh about ``limit`` or less."""
+    held = None
+    for frame in frames:
+        held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        keys, weights = held[key].to_numpy(), np.cumsum(weigh(held))
+        ends = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        at = 0
+        for i, end in enumerate(ends):
+            if i + 1 == len(ends) or weights[ends[i + 1] - 1] - (weights[at - 1] if at else 0) > limit:
+                yield held.iloc[at:end].reset_index(drop=True)
+                at = end
+        held = held.iloc[at:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield held
+
+
 class BitFilter:
     """Which hashes may be in a set: a bitmap of a fixed size, whatever the set holds.
 
@@ -241,26 +274,35 @@ class BitFilter:
 def task_sums(frame: DataFrame, add, cells: int, block: int = 1 << 14) -> np.ndarray:
     """Sums of a vector of fixed length over all rows.
 
-    ``add(frames)`` gives the vector of one task. Tasks pass on blocks of it, as pairs of
-    place and sum where these are fewer, and the blocks are summed by key.
+    ``add(frames)`` gives the vector of one task. Tasks pass on the places that are not 0,
+    by block; blocks are summed as a stream, one at a time.
     """
+
     def parts(frames):
         vector = add(frames)
         for b in range(0, cells, block):
             piece = vector[b : b + block]
-            at = np.flatnonzero(piece).astype(np.int32)
+            at = np.flatnonzero(piece).astype(np.int16 if block <= 1 << 15 else np.int32)
             if len(at):
-                yield pd.DataFrame({"block": [b // block], "at": [at.tobytes()], "sums": [piece[at].astype(np.int64).tobytes()]})
-
-    def total(group: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros(block, np.int64)
-        for at, sums in zip(group["at"], group["sums"]):
-            out[np.frombuffer(at, np.int32)] += np.frombuffer(sums, np.int64)
-        return pd.DataFrame({"block": group["block"][:1], "sums": [out.tobytes()]})
-
-    rows = frame.mapInPandas(parts, "block long, at binary, sums binary").groupBy("block").applyInPandas(total, "block long, sums binary").collect()
+                yield pd.DataFrame({"block": [b // block], "at": [at.tobytes()], "sums": [piece[at].astype(np.int32).tobytes()]})
+
+    kind = np.int16 if block <= 1 << 15 else np.int32
+
+    def total(frames):
+        now, out = None, np.zeros(block, np.int64)
+        for frame in frames:
+            for b, at, sums in zip(frame["block"], frame["at"], frame["sums"]):
+                if b != now:
+                    if now is not None:
+                        yield pd.DataFrame({"block": [now], "sums": [out.tobytes()]})
+                    now, out = b, np.zeros(block, np.int64)
+                out[np.frombuffer(at, kind)] += np.frombuffer(sums, np.int32)
+        if now is not None:
+            yield pd.DataFrame({"block": [now], "sums": [out.tobytes()]})
+
+    summed = frame.mapInPandas(parts, "block long, at binary, sums binary").repartition("block").sortWithinPartitions("block")
     out = np.zeros(cells, np.int64)
-    for row in rows:
+    for row in summed.mapInPandas(total, "block long, sums binary").collect():
         out[row.block * block : (row.block + 1) * block] = np.frombuffer(row.sums, np.int64)[: cells - row.block * block]
     return out
 

@@ -139,7 +139,8 @@ def _first_places(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
-    """``id``, ``rk``, ``start``, ``n``: ``n`` strings from byte ``start`` also start earlier."""
+    """``id``, ``rk`` and spans (see ``common.packed_spans``): ``n`` strings from byte
+    ``start`` on also start earlier. ``docs`` as of ``common.texts``."""
 
     def anchors(frames):
         for frame in c.chunks(frames, PIECE):
@@ -188,12 +189,12 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
                 "place": place.astype(np.int32),
             })
 
-    found = c.stored(docs.mapInPandas(rows, ROWS + ", place int"))
-    whole = found.where("bytes is null")
+    parts = c.stored(docs.mapInPandas(rows, ROWS + ", place int"), (found,))
+    whole = parts.where("bytes is null")
     sources = whole.groupBy("k1", "k2").agg(F.min("id").alias("source"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
     simple = whole.join(sources, ["k1", "k2"]).where("id > source or again").select("id", "rk", "start", "n")
 
-    mixed = found.where("bytes is not null")
+    mixed = parts.where("bytes is not null")
     contents = (
         mixed.groupBy("k1", "k2")
         .agg(F.min(F.struct("id", "start", "place", "bytes")).alias("s"), F.count("*").alias("copies"))
@@ -201,29 +202,15 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
     )
 
     def order(frames):
-        held = None
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            windows = np.cumsum([len(b) - length + 1 for b in held["bytes"]])
-            ends = np.flatnonzero(held["k1"].to_numpy()[1:] != held["k1"].to_numpy()[:-1]) + 1
-            at = 0
-            for i, end in enumerate(ends):
-                last = i + 1 == len(ends)
-                if last or windows[ends[i + 1] - 1] - (windows[at - 1] if at else 0) > BATCH:
-                    yield _first_places(held.iloc[at:end].reset_index(drop=True), length)
-                    at = end
-            held = held.iloc[at:].reset_index(drop=True)
-        if held is not None and len(held):
+        weigh = lambda held: [len(b) - length + 1 for b in held["bytes"]]
+        for held in c.whole_buckets(frames, "k1", weigh, BATCH):
             yield _first_places(held, length)
 
     places = contents.repartition("k1").sortWithinPartitions("k1").mapInPandas(order, "k1 long, k2 long, j int, run int, first_id long, first_start long")
-    sorted_out = (
-        mixed.drop("bytes")
-        .join(c.stored(places), ["k1", "k2"])
-        .where("id > first_id or (id = first_id and start + j > first_start)")
-        .select("id", "rk", (F.col("start") + F.col("j")).alias("start"), F.col("run").alias("n"))
-    )
-    return simple.union(sorted_out)
+    places = c.stored(places)
+    late = mixed.drop("bytes").join(places, ["k1", "k2"]).where("id > first_id or (id = first_id and start + j > first_start)")
+    late = late.select("id", "rk", (F.col("start") + F.col("j")).alias("start"), F.col("run").alias("n"))
+    return c.stored(c.packed_spans(simple.union(late)), (parts, places))
 
 
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
@@ -233,9 +220,7 @@ def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     byte and length).
     """
     docs = c.texts(docs)
-    spans = repeated_strings(docs, length).groupBy("id", "rk").agg(
-        F.collect_set(F.shiftleft(F.col("start").cast("long"), 24) + F.col("n")).alias("spans")
-    )
+    spans = repeated_strings(docs, length)
 
     def cut(frames):
         for frame in c.chunks(frames):
