@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import decontamination, quality_rules, substring_dedup, suffix_dedup, token_counts
+from dqloom.llm import decontamination, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,30 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "rules.*").drop("boilerplate")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(documents(spark, sf_dir))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.taken(documents(spark, sf_dir), labels).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = quality_classifier.scored(documents(spark, sf_dir).select("doc_id", "text"), labels)
+    return found.select("doc_id", "quality.*")
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.without_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "place.*")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.without_repeats(documents(spark, sf_dir))
     return kept.select(
@@ -55,6 +79,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_quality_rules": op3_quality_rules,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_mixing": op5_mixing,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_counts": op10_token_counts,
 }
