@@ -12,7 +12,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Rows without doc_id sort after all others.
 LAST_ID = 2**63 - 1
@@ -314,27 +313,23 @@ def components(links: DataFrame) -> DataFrame:
     neighbours to the least one among them, so paths shorten quickly and a hot node's
     neighbours are only reduced to a minimum, never gathered.
     """
-    edges = stored(links.where("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
-    before = None
+    edges = links.where("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
+    old = ()
     while True:
         both = edges.union(edges.select("y", "x")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y"))
-        large = large.where("x != y").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("x"), F.col("m").alias("y")).distinct()
         low = large.groupBy("x").agg(F.min("y").alias("m"))
         small = large.join(low, "x")
         edges = stored(
             small.select("x", F.col("m").alias("y"))
             .union(small.where("y != m").select(F.col("y").alias("x"), F.col("m").alias("y")))
-            .distinct()
+            .distinct(),
+            old,
         )
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.groupBy("x").agg(F.min("y").alias("root")).select(F.col("x").alias("node"), "root").union(
-                edges.select(F.col("y").alias("node"), F.col("y").alias("root")).distinct()
-            )
-        before = now
-
+        old = (edges,)
+        ends = edges.select(F.col("x").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.union(edges.select("y", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        if ends.where("up > 1 or up > 0 and down > 0").isEmpty():  # each edge leads to a root
+            return edges.toDF("node", "root").union(edges.select("y", "y").distinct())
 
-def long_type(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(n, T.LongType()) for n in names])
