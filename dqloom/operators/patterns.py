@@ -17,7 +17,7 @@ from ..functions.text import (
     spelling_key,
     violates,
 )
-from ..session import broadcast_if_small, small_frame
+from ..session import small_frame
 
 MIN_SHARE = 0.05
 COVER = 0.95
@@ -71,7 +71,8 @@ def _frequent_keys(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
-    frequent = counts.join(totals, "column_name").where(
+    # totals have one row per column of the schema
+    frequent = counts.join(F.broadcast(totals), "column_name").where(
         F.col("n") >= min_share * F.col("total")
     )
     covered = F.sum("n").over(Window.partitionBy("column_name"))
@@ -156,8 +157,8 @@ def case_variants(df: DataFrame, column: str) -> DataFrame:
     """``(spelling_key, variants, n)`` of values that differ only by case or outer blanks.
 
     A first pass over fixed-width hashes finds the keys with more than one spelling.
-    Those keys are usually few and then broadcast, so the second pass shuffles the text
-    of varied rows only.
+    Where those keys are few, Spark broadcasts them at run time, so the second pass
+    shuffles the text of varied rows only.
     """
     value = col(column)
     key = spelling_key(value)
@@ -177,7 +178,7 @@ def case_variants(df: DataFrame, column: str) -> DataFrame:
     )
     spellings = (
         rows.select(*key_hashes, value.alias("value"))
-        .join(broadcast_if_small(varied), ["k1", "k2"], "left_semi")
+        .join(varied, ["k1", "k2"], "left_semi")
         .groupBy("value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -106,7 +106,12 @@ def training_rows(
 ) -> DataFrame:
     """Rows of the window with a metric; literal dates reach the scan as a range."""
     day = F.to_date(col(time_column))
-    return df.where(day.between(F.lit(start), F.lit(end)) & col(metric).isNotNull())
+    return df.where(day.between(F.lit(start), F.lit(end)) & measured(metric))
+
+
+def measured(metric: str) -> Column:
+    """Whether a row has a number: not NULL, not NaN, not infinite."""
+    return F.abs(col(metric).cast("double")) < float("inf")
 
 
 def recent_rows(df: DataFrame, time_column: str, as_of: dt.date | None = None) -> DataFrame:
@@ -154,7 +159,7 @@ def bucketed(
 ) -> DataFrame:
     """``(series_id, bucket, y)``: one value per bucket that has rows."""
     value = {"avg": F.avg, "sum": F.sum}[how](col(metric).cast("double"))
-    rows = df.where(col(time_column).isNotNull() & col(metric).isNotNull())
+    rows = df.where(col(time_column).isNotNull() & measured(metric))
     return rows.groupBy(
         F.lit(series_id).alias("series_id"), bucket_of(col(time_column), unit).alias("bucket")
     ).agg(value.alias("y"))

@@ -14,19 +14,14 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import quote_name
+from ..functions.names import col, quote_name
 from ..operators import anomalies, checks, samples
 from ..operators.checks import fused_counts, footer_null_counts, is_atomic
 from ..session import small_frame
 from ..sources.catalog import key_column
 from ..sources.dataset import Dataset, has_table
 from ..sources.store import RESULT_SCHEMA, RULE_SCHEMA, SAMPLE_SCHEMA
-from .generate import (
-    ANOMALY_DETECTION,
-    FLAGS_VIEW,
-    REFERENTIAL_INTEGRITY,
-    UNIQUENESS,
-)
+from .generate import DUPLICATES, FLAGS_VIEW, ORPHANS, SERIES
 
 WORKERS = 10
 
@@ -63,10 +58,11 @@ class _Run:
     flags: DataFrame | None = None
     # frames of failing values, kept from counting to sampling
     bad_values: dict[str, DataFrame] = field(default_factory=dict)
+    kept: list[DataFrame] = field(default_factory=list)
 
 
 def _outcome(rule: Row, count: int | None, error: Exception | None, started: float) -> tuple:
-    message = None if error is None else f"{type(error).__name__}: {error}"[:2000]
+    message = None if error is None else f"{type(error).__name__}: {error}"
     now = dt.datetime.now(dt.timezone.utc)
     return (rule.rule_id, count, message, time.time() - started, now)
 
@@ -245,26 +241,54 @@ def _rule_specs(models: DataFrame, rules: list[Row]) -> list[anomalies.SeriesSpe
     return [anomalies.SeriesSpec(*r) for r in rows.collect()]
 
 
+def _check_spec(dataset: Dataset, spec: anomalies.SeriesSpec) -> Exception | None:
+    """What keeps a series from being scored, found without a job."""
+    try:
+        dataset[spec.table].select(col(spec.time_column), col(spec.metric)).schema
+    except Exception as error:  # noqa: BLE001 - one series never stops the others
+        return error
+    return None
+
+
+def _flag_together(
+    run: _Run, specs: list[anomalies.SeriesSpec]
+) -> tuple[list[DataFrame], dict[str, int], dict[str, Exception]]:
+    """Flags and counts of all series from one scoring; halves are tried if it fails."""
+    if not specs:
+        return [], {}, {}
+    try:
+        flags = anomalies.flag_series(run.dataset, run.models, specs, run.as_of)
+        flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = anomalies.anomaly_counts(flags).collect()
+        return [flags], {r.series_id: r.failed_count for r in rows}, {}
+    except Exception as error:  # noqa: BLE001
+        if len(specs) == 1:
+            return [], {}, {specs[0].series_id: error}
+    middle = len(specs) // 2
+    some, more = _flag_together(run, specs[:middle]), _flag_together(run, specs[middle:])
+    return some[0] + more[0], {**some[1], **more[1]}, {**some[2], **more[2]}
+
+
 def _run_anomaly_rules(run: _Run, rules: list[Row]) -> list[tuple]:
-    """All anomaly rules from one scoring of all series."""
+    """All anomaly rules from one scoring of the series that can be scored."""
     started = time.time()
     try:
         if run.models is None:
             raise ValueError("no trained models were given")
-        specs = _rule_specs(run.models, rules)
-        flags = anomalies.flag_series(run.dataset, run.models, specs, run.as_of)
-        if flags is None:
-            raise ValueError("the rules have no trained model")
-        run.flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
-        run.flags.createOrReplaceTempView(FLAGS_VIEW)
-        counts = {r.series_id: r.failed_count for r in anomalies.anomaly_counts(run.flags).collect()}
-        trained = {s.series_id for s in specs}
+        specs = {s.series_id: s for s in _rule_specs(run.models, rules)}
     except Exception as error:  # noqa: BLE001
         return [_outcome(r, None, error, started) for r in rules]
+    errors = {i: e for i, s in specs.items() if (e := _check_spec(run.dataset, s)) is not None}
+    flags, counts, broken = _flag_together(run, [s for i, s in specs.items() if i not in errors])
+    errors.update(broken)
+    if flags:
+        run.flags = reduce(DataFrame.unionByName, flags)
+        run.flags.createOrReplaceTempView(FLAGS_VIEW)
+        run.kept += flags
     outcomes = []
     for rule in rules:
         name = anomalies.model_name(rule.source_table_id, rule.metric_column)
-        error = None if name in trained else ValueError(f"no model {name}")
+        error = errors.get(name) or (None if name in specs else ValueError(f"no model {name}"))
         outcomes.append(_outcome(rule, None if error else counts.get(name, 0), error, started))
     return outcomes
 
@@ -280,11 +304,11 @@ def _submit_all(run: _Run, rules: list[Row]) -> list:
     for rule in rules:
         if rule.failure_predicate is not None:
             by_table.setdefault(rule.source_table_id, []).append(rule)
-        elif rule.rule_family == UNIQUENESS:
+        elif rule.engine == DUPLICATES:
             tasks.append((_run_single, rule, _count_duplicates))
-        elif rule.rule_family == REFERENTIAL_INTEGRITY and rule.ref_table is not None:
+        elif rule.engine == ORPHANS:
             tasks.append((_run_single, rule, _count_orphans))
-        elif rule.rule_family == ANOMALY_DETECTION:
+        elif rule.engine == SERIES:
             anomaly.append(rule)
         else:
             tasks.append((_run_single, rule, _count_sql))
@@ -345,7 +369,7 @@ def _sample_failing(run: _Run, rules: list[Row]) -> tuple[list[tuple], dict[str,
     for rule in rules:
         if rule.failure_predicate is not None:
             by_table.setdefault(rule.source_table_id, []).append(rule)
-        elif rule.rule_id in run.bad_values or rule.rule_family == ANOMALY_DETECTION:
+        elif rule.rule_id in run.bad_values or rule.engine == SERIES:
             waiting.append(([rule], _submit(run, _sample_single, rule)))
     for table, group in by_table.items():
         waiting.append((group, _submit(run, _sample_rows, table, group)))
@@ -355,7 +379,7 @@ def _sample_failing(run: _Run, rules: list[Row]) -> tuple[list[tuple], dict[str,
         try:
             rows += future.result()
         except Exception as error:  # noqa: BLE001 - a sample never changes a status
-            notes.update({r.rule_id: f"sample: {error}"[:2000] for r in group})
+            notes.update({r.rule_id: f"sample: {error}" for r in group})
     return rows, notes
 
 
@@ -377,7 +401,7 @@ def sample_for(run: _Run, rule: Row) -> DataFrame | None:
     key = key_column(df)
     if rule.rule_id in run.bad_values:
         return samples.sample_values(df, key, rule.metric_column, run.bad_values[rule.rule_id])
-    if rule.rule_family == ANOMALY_DETECTION and run.flags is not None:
+    if rule.engine == SERIES and run.flags is not None:
         name = anomalies.model_name(rule.source_table_id, rule.metric_column)
         flags = run.flags.where(F.col("series_id") == name)
         recent = anomalies.recent_source(run.dataset, rule.source_table_id, rule.time_column, run.as_of)
@@ -421,7 +445,7 @@ def run_rules(
         outcomes = [o for f in _submit_all(run, listed) for o in f.result()]
         failing = [by_id[o[0]] for o in outcomes if o[2] is None and (o[1] or 0) > 0]
         rows, notes = _sample_failing(run, failing) if with_samples else ([], {})
-    for frame in [*run.bad_values.values(), *([run.flags] if run.flags is not None else [])]:
+    for frame in [*run.bad_values.values(), *run.kept]:
         frame.unpersist()
     counts = small_frame(spark, outcomes, OUTCOME_SCHEMA)
     results = to_results(counts, defined, run_id)

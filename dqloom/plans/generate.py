@@ -14,7 +14,7 @@ from ..functions.names import describe, quoted, quoted_value, readable
 from ..functions.text import ODD_CHARACTER
 from ..operators import anomalies
 from ..operators.patterns import dominant_patterns, dominant_shapes, length_bounds
-from ..session import side_by_side, small_frame
+from ..session import cut_lineage, side_by_side, small_frame
 from ..sources.catalog import column_catalog
 from ..sources.dataset import Dataset, list_tables
 from ..sources.store import RULE_SCHEMA
@@ -26,6 +26,9 @@ STRING_FORMATTING = "String Formatting"
 ANOMALY_DETECTION = "Anomaly Detection"
 REFERENTIAL_INTEGRITY = "Referential Integrity"
 
+# How the engine runs rules without a row predicate; a rule without any runs its SQL.
+DUPLICATES, ORPHANS, SERIES = "duplicates", "orphans", "series"
+
 # Tables profiled at the same time.
 TABLE_WORKERS = 5
 
@@ -37,10 +40,22 @@ ForeignKey = tuple[str, str, str, str]
 
 @dataclass
 class Generated:
-    """Generated rules and the models their anomaly rules refer to, if any."""
+    """Generated rules, the models their anomaly rules refer to, if any, and what failed.
+
+    ``errors`` has ``(table_name, step, error)``: a table that cannot be profiled or trained
+    gets no such rules, and all other tables get theirs.
+    """
 
     rules: DataFrame
     models: DataFrame | None
+    errors: DataFrame | None = None
+
+
+Errors = list[tuple[str, str, str]]
+
+
+def _message(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
 
 
 def rule_id(table: Column, metric: Column, family: Column, sql: Column) -> Column:
@@ -49,7 +64,7 @@ def rule_id(table: Column, metric: Column, family: Column, sql: Column) -> Colum
 
 
 def _rules(
-    rows: DataFrame, dataset: Dataset, family: str, sql: Column, description: Column, **engine: Column
+    rows: DataFrame, dataset: Dataset, family: str, sql: Column, description: Column, **more: Column
 ) -> DataFrame:
     """Rows with ``table_name`` and ``column_name`` turned into rules of one family."""
     table, metric = F.col("table_name"), F.col("column_name")
@@ -64,7 +79,7 @@ def _rules(
         "rule_family": F.lit(family),
         "rule_description": description,
     }
-    fields.update(engine)
+    fields.update(more)
     return rows.select(
         *[
             fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
@@ -104,21 +119,34 @@ def uniqueness_rules(catalog: DataFrame, dataset: Dataset) -> DataFrame:
         column, table, column, column,
     )
     description = describe("unique", readable(F.col("column_name")), F.col("table_name"))
-    return _rules(catalog.where("ordinal = 1"), dataset, UNIQUENESS, sql, description)
+    rows = catalog.where("ordinal = 1")
+    return _rules(rows, dataset, UNIQUENESS, sql, description, engine=F.lit(DUPLICATES))
 
 
-def profile_patterns(dataset: Dataset, inconsistencies: bool = True) -> DataFrame:
+def profile_patterns(
+    dataset: Dataset, inconsistencies: bool = True, errors: Errors | None = None
+) -> DataFrame:
     """``(table_name, column_name, regex, low, high)`` for every string column.
 
     ``regex`` is NULL without a clear pattern; such columns get length bounds instead.
-    One scan per table for its patterns, one more for the lengths of the rest.
+    Two scans per table for its patterns (frequent shapes, then their exact counts), one
+    more for the lengths of the rest. With ``errors``, a table that fails is listed there
+    and left out.
     """
     spark = dataset.spark
     schema = "table_name string, column_name string, regex string, low double, high double"
     strings = column_catalog(dataset).where("role = 'string'")
 
     def profile(table_columns: tuple[str, list[str]]) -> list[tuple]:
-        table, columns = table_columns
+        try:
+            return profile_table(*table_columns)
+        except Exception as error:  # noqa: BLE001 - one table never stops the others
+            if errors is None:
+                raise
+            errors.append((table_columns[0], "patterns", _message(error)))
+            return []
+
+    def profile_table(table: str, columns: list[str]) -> list[tuple]:
         shapes = dominant_shapes(dataset[table], columns)
         regexes = {r.column_name: r.regex for r in dominant_patterns(shapes).collect()}
         unclear = [c for c in columns if c not in regexes]
@@ -211,7 +239,7 @@ def reference_rules(foreign_keys: Iterable[ForeignKey], dataset: Dataset) -> Dat
     )
     return _rules(
         known, dataset, REFERENTIAL_INTEGRITY, sql, description,
-        ref_table=F.col("ref_table"), ref_column=F.col("ref_column"),
+        ref_table=F.col("ref_table"), ref_column=F.col("ref_column"), engine=F.lit(ORPHANS),
     )
 
 
@@ -225,7 +253,7 @@ def anomaly_rules(models: DataFrame, dataset: Dataset) -> DataFrame:
     description = describe("anomaly", F.col("column_name"), F.col("time_column"))
     return _rules(
         rows, dataset, ANOMALY_DETECTION, sql, description,
-        time_column=F.col("time_column"), bucket_unit=F.col("unit"),
+        time_column=F.col("time_column"), bucket_unit=F.col("unit"), engine=F.lit(SERIES),
     )
 
 
@@ -234,18 +262,56 @@ def train_models(
     as_of: dt.date | None = None,
     through_max: bool = False,
     metrics: Mapping[str, str] | None = None,
+    errors: Errors | None = None,
 ) -> DataFrame | None:
-    """Models of every table with a time column and a metric."""
+    """Models of every table with a time column and a metric.
+
+    With ``errors``, tables that fail and series without a model are listed there.
+    """
     chosen = anomalies.series_columns(dataset, metrics)
 
-    def spec(item: tuple[str, tuple[str, str]]) -> anomalies.SeriesSpec:
+    def spec(item: tuple[str, tuple[str, str]]) -> anomalies.SeriesSpec | None:
         table, (time_column, metric) = item
-        return anomalies.series_spec(
-            dataset[table], table, time_column, metric, as_of, through_max
-        )
+        try:
+            return anomalies.series_spec(
+                dataset[table], table, time_column, metric, as_of, through_max
+            )
+        except Exception as error:  # noqa: BLE001 - one table never stops the others
+            if errors is None:
+                raise
+            errors.append((table, "window", _message(error)))
+            return None
+
+    specs = [s for s in side_by_side(dataset.spark, spec, chosen.items(), TABLE_WORKERS) if s]
+    if errors is None:
+        return anomalies.train(dataset, specs)
+    models = _train_together(dataset, specs, errors)
+    if not models:
+        return None
+    trained = reduce(DataFrame.unionByName, models)
+    fitted = {r.series_id for r in trained.select("series_id").collect()}
+    failed = {table for table, _, _ in errors}
+    errors += [
+        (s.table, "model", f"no model of {s.metric}: too few or constant numbers")
+        for s in specs
+        if s.series_id not in fitted and s.table not in failed
+    ]
+    return trained
+
 
-    specs = side_by_side(dataset.spark, spec, chosen.items(), TABLE_WORKERS)
-    return anomalies.train(dataset, specs)
+def _train_together(dataset: Dataset, specs: list[anomalies.SeriesSpec], errors: Errors) -> list[DataFrame]:
+    """Models of all series from one training; halves are tried if it fails."""
+    if not specs:
+        return []
+    try:
+        models = anomalies.train(dataset, specs)
+        return [] if models is None else [cut_lineage(models)]
+    except Exception as error:  # noqa: BLE001
+        if len(specs) == 1:
+            errors.append((specs[0].table, "model", _message(error)))
+            return []
+    middle = len(specs) // 2
+    return _train_together(dataset, specs[:middle], errors) + _train_together(dataset, specs[middle:], errors)
 
 
 def generate_rules(
@@ -257,14 +323,16 @@ def generate_rules(
     forecasts: bool = True,
 ) -> Generated:
     """All rules of a dataset; write them with one ``write_rules``."""
+    errors: Errors = []
     catalog = column_catalog(dataset)
     parts = [
         null_rules(catalog, dataset),
         uniqueness_rules(catalog, dataset),
-        format_rules(catalog, dataset, profile_patterns(dataset)),
+        format_rules(catalog, dataset, profile_patterns(dataset, errors=errors)),
         reference_rules(foreign_keys, dataset),
     ]
-    models = train_models(dataset, as_of, through_max, metrics) if forecasts else None
+    models = train_models(dataset, as_of, through_max, metrics, errors) if forecasts else None
     if models is not None:
         parts.append(anomaly_rules(models, dataset))
-    return Generated(reduce(DataFrame.unionByName, parts), models)
+    failed = small_frame(dataset.spark, errors, "table_name string, step string, error string")
+    return Generated(reduce(DataFrame.unionByName, parts), models, failed)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small_frame
-from ..sources.store import RULE_SCHEMA
+from ..sources.store import ENGINE_FIELDS, RULE_SCHEMA
 from .generate import rule_id
 
 
@@ -56,12 +57,18 @@ def update_rule(rules: DataFrame, changes: DataFrame) -> DataFrame:
     """Rules with the non-null fields of ``changes`` put in, by ``rule_id``.
 
     The id stays, so results and samples of the rule keep pointing at it; the timestamp
-    becomes the time of the change.
+    becomes the time of the change. New SQL without new engine fields is what runs from
+    then on, so the engine fields of the rule are cleared.
     """
     changed = [c for c in changes.columns if c != "rule_id"]
     news = changes.select("rule_id", *[F.col(c).alias(f"new_{c}") for c in changed])
     news = news.withColumn("touched", F.lit(True))
     fields = {c: F.coalesce(F.col(f"new_{c}"), F.col(c)) for c in changed}
+    if "rule_sql" in changed:
+        given = [F.col(f"new_{c}").isNotNull() for c in changed if c in ENGINE_FIELDS]
+        own = F.col("new_rule_sql").isNotNull() & ~reduce(Column.__or__, given, F.lit(False))
+        for c in ENGINE_FIELDS:
+            fields[c] = F.when(~F.coalesce(own, F.lit(False)), fields.get(c, F.col(c)))
     fields["rule_generation_timestamp"] = F.when(
         F.col("touched"), F.current_timestamp()
     ).otherwise(F.col("rule_generation_timestamp"))

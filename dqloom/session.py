@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -44,13 +42,11 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a new temporary one only in local mode."""
+    """The folder all executors share, which the session must name."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    return tempfile.mkdtemp(prefix="dqloom-")
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -81,17 +77,3 @@ def side_by_side(spark: SparkSession, work: Callable, items: Iterable, workers:
     """``work`` on each item, their independent jobs submitted at the same time."""
     with ThreadPoolExecutor(workers) as pool:
         return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
-# Rows of a few hash columns that every executor can hold.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with its lineage cut, marked for broadcast only if it has few rows.
-
-    Meant for narrow frames of fixed-width columns. Larger ones are left to a shuffled
-    join, which splits hot keys at run time.
-    """
-    kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.limit(rows + 1).count() <= rows else kept

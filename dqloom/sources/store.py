@@ -17,7 +17,7 @@ def _schema(*fields: tuple) -> T.StructType:
 
 
 # Nine described fields, then what the engine needs to run a rule without reading
-# its SQL: a row predicate, the referenced column, or the series to score.
+# its SQL: a row predicate, the referenced column, the series to score, or the check.
 RULE_SCHEMA = _schema(
     ("rule_id", _STRING, False),
     ("source_project_id", _STRING, False),
@@ -33,7 +33,10 @@ RULE_SCHEMA = _schema(
     ("ref_column", _STRING, True),
     ("time_column", _STRING, True),
     ("bucket_unit", _STRING, True),
+    ("engine", _STRING, True),
 )
+# Fields that say how the engine runs a rule; without any of them its SQL runs.
+ENGINE_FIELDS = RULE_SCHEMA.fieldNames()[9:]
 RULE_FIELDS = RULE_SCHEMA.fieldNames()[:9]
 
 RESULT_SCHEMA = _schema(

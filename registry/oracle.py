@@ -269,11 +269,11 @@ ORACLE["t7_resample_events_minutes"] = (
 )
 SEASON = "round(y - avg(y) OVER (PARTITION BY {phase}) + avg(y) OVER (), {digits}) AS y FROM filled"
 ORACLE["t8_deseasonalize_events"] = (
-    f"WITH {EVENTS} SELECT CAST(bucket AS VARCHAR) AS bucket, {SEASON.format(phase='hour(bucket)', digits=4)}"
+    f"WITH {EVENTS} SELECT CAST(bucket AS VARCHAR) AS bucket, {SEASON.format(phase='hour(bucket)', digits=9)}"
 )
 ORACLE["t8_deseasonalize_orders_weekly"] = (
     f"WITH {filled('orders', 'o_orderdate', 'o_totalprice', 'day', 'avg')} "
-    f"SELECT CAST(bucket AS VARCHAR) AS bucket, {SEASON.format(phase='isodow(bucket)', digits=3)}"
+    f"SELECT CAST(bucket AS VARCHAR) AS bucket, {SEASON.format(phase='isodow(bucket)', digits=5)}"
 )
 ORACLE["t9_difference_events"] = (
     f"WITH {EVENTS} SELECT CAST(bucket AS VARCHAR) AS bucket, round(change, 4) AS y FROM "
@@ -706,3 +706,31 @@ ORACLE["c3_update_rule"] = dirty(
     union([*KEY_OUTCOMES, tax_rule("tax above twice the discount", "l_tax > 2 * l_discount")])
 )
 ORACLE["c4_delete_rule"] = dirty(union(KEY_OUTCOMES))
+ORACLE["c3_update_sql_only"] = dirty(
+    "SELECT 'orders_dirty' AS source_table_id, 'o_totalprice' AS metric_column, "
+    "'SELECT count(*) AS failed_count FROM orders_dirty WHERE o_totalprice IS NULL OR o_totalprice > 300000' AS rule_sql, "
+    "count(*) AS failed_rows FROM orders_dirty WHERE o_totalprice IS NULL OR o_totalprice > 300000"
+)
+ORACLE["x1_user_rule_in_builtin_family"] = union(
+    [
+        f"SELECT 'lineitem' AS source_table_id, '{family}' AS rule_family, count(*) AS failed_rows FROM lineitem WHERE l_quantity > {n}"
+        for family, n in (("Uniqueness", 40), ("Referential Integrity", 30), ("Anomaly Detection", 20), ("Null Check", 60))
+    ]
+)
+ORACLE["e6_anomaly_isolation"] = (
+    "SELECT DISTINCT 'lineitem' AS source_table_id, true AS is_error FROM lineitem "
+    "UNION ALL SELECT DISTINCT 'orders_dirty', false FROM orders"
+)
+ORACLE["k8_generate_with_broken_table"] = union(
+    [
+        f"SELECT DISTINCT {value(name)} AS table_name, CAST({len(columns_of(t)) + 1} AS BIGINT) AS rules, {step} AS step FROM {t}"
+        for name, t, step in (("customer", "customer", "NULL"), ("nation", "nation", "NULL"), ("broken", "customer", "'patterns'"))
+    ]
+)
+ORACLE["n3_null_profile_footers"] = union(
+    [
+        f"SELECT {value(t)} AS table_name, {value(c)} AS column_name, count(*) - count({c}) AS failed_count FROM {t}"
+        for t in ALL_TABLES
+        for c, _ in columns_of(t)
+    ]
+)

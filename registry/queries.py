@@ -300,13 +300,13 @@ def _(ds: Dataset):
 
 @query("t8_deseasonalize_events", "events")
 def _(ds: Dataset):
-    return series.deseasonalize(_events_hourly(ds), "hour").select(text("bucket"), rounded("y", 4))
+    return series.deseasonalize(_events_hourly(ds), "hour").select(text("bucket"), rounded("y", 9))
 
 
 @query("t8_deseasonalize_orders_weekly", "orders")
 def _(ds: Dataset):
     daily = series.resample(ds["orders"], "orders", "o_orderdate", "o_totalprice", "day")
-    return series.deseasonalize(daily, "day").select(text("bucket"), rounded("y", 3))
+    return series.deseasonalize(daily, "day").select(text("bucket"), rounded("y", 5))
 
 
 @query("t9_difference_events", "events")
@@ -760,6 +760,57 @@ def _(ds: Dataset):
     return _outcomes(ds, maintain.update_rule(rules, changes))
 
 
+@query("c3_update_sql_only", "orders_dirty")
+def _(ds: Dataset):
+    """New SQL alone: it is what runs, not the predicate the rule had."""
+    rules = maintain.find_rules(_base_rules(ds), "rule_family = 'Null Check' AND metric_column = 'o_totalprice'")
+    sql = "SELECT count(*) AS failed_count FROM orders_dirty WHERE o_totalprice IS NULL OR o_totalprice > 300000"
+    changed = maintain.update_rule(rules, rules.select("rule_id", F.lit(sql).alias("rule_sql")))
+    return _with_counts(ds, changed).select("source_table_id", "metric_column", "rule_sql", _failed())
+
+
+@query("x1_user_rule_in_builtin_family", "lineitem")
+def _(ds: Dataset):
+    """Rules named after built-in families run their own SQL."""
+    like = _key_rules(ds)
+    sql = "SELECT count(*) AS failed_count FROM lineitem WHERE l_quantity > {}"
+    rules = union([
+        maintain.new_rule(like, "lineitem", "l_orderkey", family, sql.format(n))
+        for family, n in (("Uniqueness", 40), ("Referential Integrity", 30), ("Anomaly Detection", 20), ("Null Check", 60))
+    ])
+    return _with_counts(ds, rules).select("source_table_id", "rule_family", _failed())
+
+
+@query("e6_anomaly_isolation", "orders_dirty", "lineitem")
+def _(ds: Dataset):
+    """Two anomaly rules, the table of one gone: the other one is still counted."""
+    rules = generate.anomaly_rules(models := cut_lineage(generate.train_models(ds, as_of=ORDERS_AS_OF)), ds)
+    outcome = run_rules(ds.only("orders_dirty"), rules, models, ORDERS_AS_OF, include_pass=True, with_samples=False)
+    return outcome.results.select("source_table_id", (F.col("status") == "ERROR").alias("is_error"))
+
+
+@query("k8_generate_with_broken_table", "customer", "nation")
+def _(ds: Dataset):
+    """A table that cannot be read is recorded, and the others get their rules."""
+    broken = ds["customer"].withColumn("c_name", F.when(F.col("c_custkey") < 0, F.col("c_name")).otherwise(F.raise_error(F.lit("unreadable"))))
+    made = generate.generate_rules(Dataset(ds.spark, {**ds.tables, "broken": broken}, ds.name, ds.project, {}), forecasts=False)
+    counts = made.rules.where("rule_family <> 'String Formatting'").groupBy(F.col("source_table_id").alias("table_name")).agg(F.count(F.lit(1)).alias("rules"))
+    failed = made.errors.select("table_name", "step")
+    return counts.join(failed, "table_name", "left")
+
+
+def _null_profile_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null counts of all tables, from file footers where these have them."""
+    ds = sources.load_dataset(spark, sf_dir, ALL_TABLES, footer_counts=True)
+    rules = generate.null_rules(catalog.column_catalog(ds), ds)
+    return _with_counts(ds, rules).select(
+        F.col("source_table_id").alias("table_name"), F.col("metric_column").alias("column_name"), _failed().alias("failed_count")
+    )
+
+
+QUERIES["n3_null_profile_footers"] = _null_profile_footers
+
+
 @query("c4_delete_rule", *C_TABLES)
 def _(ds: Dataset):
     rules = _base_rules(ds)

@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "dqloom-tests",
         "local[8]",
@@ -21,6 +21,7 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
