@@ -20,7 +20,6 @@ item; a missing item_id hits words but is not listed; extra columns are passed o
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 

@@ -1,3 +1,104 @@
-"""SQL for the queries of this subpackage that have an equivalent."""
+"""SQL for the queries of this subpackage that have an equivalent.
+
+The line labels, the classifier, the hashes that order shards and the tokenizer have none;
+tests hold those queries against brute force.
+"""
+
+WORD = r"[^\x20\x09-\x0D]+"
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lowered(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{CAPITALS}', '{SMALL}')"
+
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_substring_dedup"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+firsts AS (SELECT s, min(doc_id) AS f FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM windows JOIN firsts USING (s), unnest(range(13)) AS r(j) WHERE f < doc_id),
+words AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS k FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLE["op2_benchmark_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_lowered("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_lowered("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+patterns AS (SELECT DISTINCT item_id, least(10, len(w)) AS m, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS s
+  FROM b, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+windows AS (SELECT doc_id, i, m, array_to_string(w[i : i + m - 1], ' ') AS s
+  FROM d, (SELECT DISTINCT m FROM patterns) AS l, unnest(range(1, len(w) - m + 2)) AS t(i)),
+found AS (SELECT doc_id, i, m, item_id FROM windows JOIN patterns USING (m, s)),
+hits AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM found, unnest(range(m)) AS r(j) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) AS x GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+ORACLE["op4_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_lowered("text")}, '{WORD}') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s, len(w) < 5 AS short
+  FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM sets AS a JOIN sets AS b ON a.s = b.s AND a.short = b.short
+  AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sizes AS p ON p.doc_id = x JOIN sizes AS q ON q.doc_id = y
+  WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT node, y FROM reach JOIN links ON x = seen)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) AS r USING (doc_id)"""
+
+ORACLE["op5_mixing"] = rf"""
+WITH quality AS (SELECT doc_id, max(quality) AS label FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT doc_id, source, md5(coalesce(text, '')) AS text_key, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size,
+  CASE label WHEN 1 THEN 2.0::DOUBLE WHEN 0 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM documents LEFT JOIN quality USING (doc_id)),
+keyed AS (SELECT *, -ln((CAST(CAST('0x' || substr(md5(concat_ws('/', '7', coalesce(CAST(doc_id AS VARCHAR), ''), text_key)), 1, 13) AS BIGINT) AS DOUBLE)
+  + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / weight AS key FROM d),
+per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+ranked AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM per),
+ordered AS (SELECT *, 3.0::DOUBLE * source_size / w AS cap FROM ranked),
+levels AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(source_size) OVER before, 0) * 3.0::DOUBLE)
+  / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level FROM ordered
+  WINDOW before AS (ORDER BY cap, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+shares AS (SELECT *, max(level) OVER () AS share FROM levels),
+aims AS (SELECT source, source_size, CASE WHEN cap <= share THEN 3.0::DOUBLE * source_size ELSE share * w END AS target FROM shares),
+placed AS (SELECT k.*, source_size, target, CAST(CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS BIGINT) AS epochs,
+  CAST(coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, text_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS ahead
+  FROM keyed AS k JOIN aims AS a ON k.source IS NOT DISTINCT FROM a.source),
+fit AS (SELECT *, target - epochs * source_size AS rest, ahead + size <= target - epochs * source_size AND size > 0 AS fits FROM placed),
+gaps AS (SELECT source, max(rest) - sum(CASE WHEN fits THEN size ELSE 0 END) AS gap FROM fit GROUP BY source),
+edges AS (SELECT f.source, f.doc_id, f.text_key, row_number() OVER (PARTITION BY f.source ORDER BY abs(size - gap), key, f.doc_id, f.text_key) AS nth
+  FROM fit AS f JOIN gaps AS g ON f.source IS NOT DISTINCT FROM g.source WHERE NOT fits AND size > 0 AND abs(size - gap) < gap)
+SELECT f.doc_id, size, source_size, target, (epochs + CASE WHEN fits OR e.nth IS NOT NULL THEN 1 ELSE 0 END) * size AS taken
+FROM fit AS f LEFT JOIN edges AS e ON e.nth = 1 AND NOT fits AND f.source IS NOT DISTINCT FROM e.source AND f.doc_id = e.doc_id AND f.text_key = e.text_key"""
+
+ORACLE["op7_line_dedup"] = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, p, l[p] AS line, regexp_replace({_lowered("l[p]")}, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS key
+  FROM d, unnest(range(1, len(l) + 1)) AS t(p)),
+firsts AS (SELECT key, min(doc_id) AS f FROM lines WHERE length(key) >= 10 GROUP BY key),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS k
+  FROM lines LEFT JOIN firsts USING (key) WHERE f IS NULL OR f = doc_id GROUP BY doc_id)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+ORACLE["op9_suffix_dedup"] = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS s FROM d, unnest(range(0, CAST(length(h) // 2 - 99 AS BIGINT))) AS t(i)),
+firsts AS (SELECT s, min((doc_id, i)) AS f FROM strings GROUP BY s),
+late AS (SELECT doc_id, i FROM strings JOIN firsts USING (s) WHERE f <> (doc_id, i)),
+steps AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM late),
+runs AS (SELECT doc_id, i, sum(CASE WHEN step <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, run),
+parts AS (SELECT doc_id, a, substr(h, 2 * coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) + 1,
+  2 * (a - coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0))) AS part FROM spans JOIN d USING (doc_id)),
+cut AS (SELECT doc_id, string_agg(part, '' ORDER BY a) AS head FROM parts GROUP BY doc_id),
+totals AS (SELECT doc_id, count(*) AS n, sum(b - a) AS removed, max(b) AS last FROM spans GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN cut USING (doc_id)"""
