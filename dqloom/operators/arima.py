@@ -22,11 +22,8 @@ from .arima_solve import choose_order, forecast_rows, solve_long
 from .series import UNIT_SECONDS, phase_of, season_offsets, steps_between
 
 MAX_ORDER = 5
-# 5% point of the level-stationarity statistic, and its longest lag,
-# which is what the usual rule gives for 131,040 buckets.
+# Fixed value: 5% point of the level-stationarity statistic.
 KPSS_LIMIT = 0.463
-KPSS_LAGS = 24
-
 
 
 def _in_order():
@@ -34,13 +31,18 @@ def _in_order():
 
 
 def difference_order(series: DataFrame) -> DataFrame:
-    """``(series_id, n, kpss, d)``: d is 1 where the level is not stationary."""
+    """``(series_id, n, kpss, d)``: d is 1 where the level is not stationary.
+
+    The longest series, counted first, says how many lags there are.
+    """
+    longest = series.groupBy("series_id").count().agg(F.max("count")).first()[0] or 0
+    lags = max(1, int(4 * (longest / 100) ** 0.25))
     mean = F.avg("y").over(Window.partitionBy("series_id"))
     centered = series.withColumn("e", F.col("y") - mean)
     so_far = _in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lagged = [F.lag("e", k).over(_in_order()).alias(f"e{k}") for k in range(1, KPSS_LAGS + 1)]
+    lagged = [F.lag("e", k).over(_in_order()).alias(f"e{k}") for k in range(1, lags + 1)]
     rows = centered.select("series_id", "e", F.sum("e").over(so_far).alias("s"), *lagged)
-    covariances = [f"coalesce(sum(e * e{k}), 0D)" for k in range(1, KPSS_LAGS + 1)]
+    covariances = [f"coalesce(sum(e * e{k}), 0D)" for k in range(1, lags + 1)]
     sums = rows.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.expr("sum(s * s)").alias("ss"),
@@ -49,7 +51,7 @@ def difference_order(series: DataFrame) -> DataFrame:
     )
     width = F.floor(4 * F.pow(F.col("n") / 100, 0.25))
     weights = F.transform(
-        F.sequence(F.lit(1), F.lit(KPSS_LAGS)),
+        F.sequence(F.lit(1), F.lit(lags)),
         lambda k: F.when(k <= width, 2 * (1 - k / (width + 1))).otherwise(F.lit(0.0)),
     )
     terms = F.zip_with(weights, "c", lambda w, c: w * c)
@@ -188,14 +190,16 @@ def _without_season(rows: DataFrame, unit: str) -> DataFrame:
 def forecast(models: DataFrame, unit: str, steps: DataFrame | int) -> DataFrame:
     """``(series_id, step, bucket, forecast, se)`` for the buckets after training.
 
-    ``steps`` is a number, or a frame ``(series_id, steps)`` of horizons per series.
+    ``steps`` is a number of steps, or a frame ``(series_id, wanted)`` with an array of the
+    steps asked for.
     """
     if isinstance(steps, int):
-        asked = models.withColumn("steps", F.lit(steps))
+        every = F.sequence(F.lit(1), F.lit(steps)) if steps > 0 else F.array().cast("array<int>")
+        asked = models.withColumn("wanted", every)
     else:
         asked = models.join(steps, "series_id")
     needed = asked.select(
-        "series_id", "intercept", "ar", "ma", "d", "sigma", "last_y", "last_z", "last_e", "steps"
+        "series_id", "intercept", "ar", "ma", "d", "sigma", "last_y", "last_z", "last_e", "wanted"
     )
     ahead = needed.mapInPandas(
         forecast_rows, "series_id string, step bigint, mean double, se double"
@@ -213,8 +217,8 @@ def score_ahead(models: DataFrame, recent: DataFrame, unit: str) -> DataFrame:
     after = recent.join(models.select("series_id", "last_bucket"), "series_id")
     after = after.where(F.col("bucket") > F.col("last_bucket"))
     steps = steps_between(F.col("last_bucket"), F.col("bucket"), unit)
-    horizon = after.groupBy("series_id").agg(F.max(steps).alias("steps"))
-    expected = forecast(models, unit, horizon).drop("step")
+    asked = after.groupBy("series_id").agg(F.array_sort(F.collect_set(steps)).alias("wanted"))
+    expected = forecast(models, unit, asked).drop("step")
     return recent.select("series_id", "bucket", "y").join(expected, ["series_id", "bucket"])
 
 

@@ -89,38 +89,48 @@ def choose_order(order: int, fixed: tuple[int, int] | None):
     return solve
 
 
-def _path(model, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forecasts of the season-free series and their standard errors, 1 to ``steps``."""
+def _path(model, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forecasts of the season-free series and their standard errors at the ``wanted`` steps.
+
+    The recursion runs until what it starts from has died out. From there on forecasts are
+    constant, or linear where the series was differenced, and so is the variance, so a step
+    far ahead costs no more than a near one.
+    """
     ar, ma = np.asarray(model.ar, dtype=float), np.asarray(model.ma, dtype=float)
     z = list(np.asarray(model.last_z, dtype=float)[: len(ar)])
     e = list(np.nan_to_num(np.asarray(model.last_e, dtype=float)[: len(ma)]))
-    mean, psi, recent_psi = np.empty(steps), np.empty(steps), [1.0]
-    for h in range(steps):
-        mean[h] = model.intercept + np.dot(ar, z) + np.dot(ma, e)
+    last = int(wanted.max())
+    means, psis, recent_psi = [], [], [1.0]
+    for h in range(last):
+        mean = model.intercept + np.dot(ar, z) + np.dot(ma, e)
+        means.append(mean)
         if len(ar):
-            z = [mean[h], *z[:-1]]
+            z = [mean, *z[:-1]]
         if len(ma):
             e = [0.0, *e[:-1]]
-        psi[h] = recent_psi[0]
+        psis.append(recent_psi[0])
         weights = recent_psi[: len(ar)]
         following = np.dot(ar[: len(weights)], weights) + (ma[h] if h < len(ma) else 0.0)
         recent_psi = [following, *recent_psi[: max(len(ar) - 1, 0)]]
+        small = 1e-13 * (1 + abs(mean))
+        if h > len(ma) and np.abs(recent_psi).max() < 1e-13 and all(abs(x - mean) < small for x in z):
+            break
+    mean, psi = np.array(means), np.array(psis)
     if model.d == 1:
         mean, psi = model.last_y + np.cumsum(mean), np.cumsum(psi)
-    return mean, model.sigma * np.sqrt(np.cumsum(psi**2))
+    variance = np.cumsum(psi**2)
+    at = np.minimum(wanted, len(mean)) - 1
+    beyond = wanted - 1 - at
+    growth = means[-1] if model.d == 1 else 0.0
+    spread = psi[-1] ** 2 if model.d == 1 else 0.0
+    return mean[at] + beyond * growth, model.sigma * np.sqrt(variance[at] + beyond * spread)
 
 
 def forecast_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for model in batch.itertuples():
-            if model.steps < 1:
+            wanted = np.asarray(model.wanted, dtype=np.int64)
+            if not len(wanted):
                 continue
-            mean, error = _path(model, int(model.steps))
-            yield pd.DataFrame(
-                {
-                    "series_id": model.series_id,
-                    "step": np.arange(1, len(mean) + 1),
-                    "mean": mean,
-                    "se": error,
-                }
-            )
+            mean, error = _path(model, wanted)
+            yield pd.DataFrame({"series_id": model.series_id, "step": wanted, "mean": mean, "se": error})

@@ -6,6 +6,7 @@ most ``n`` rows per task before anything is shuffled.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
 from operator import or_
@@ -99,10 +100,19 @@ def sample_anomalies(
     unit: str,
     n: int = SAMPLE_SIZE,
 ) -> DataFrame:
-    """Source rows in flagged buckets; ``flags`` has one row per scored bucket."""
+    """Source rows in flagged buckets; ``flags`` has one row per scored bucket.
+
+    The first and the last flagged bucket reach the scan as a range of the raw column, a day
+    wider on both sides because zones may shift it, so history is neither read nor moved.
+    """
     flagged = flags.where("is_anomaly").select("bucket").distinct()
+    low, high = flagged.agg(F.min("bucket"), F.max("bucket")).first()
+    if low is None:
+        return _first(df.limit(0), key, n)
+    kind, day = df.schema[time_column].dataType, dt.timedelta(days=1)
+    near = col(time_column).between(*[F.lit(t).cast("timestamp_ntz").cast(kind) for t in (low - day, high + 2 * day)])
     bucket = bucket_of(col(time_column), unit)
-    rows = df.join(flagged, bucket == flagged["bucket"], "left_semi")
+    rows = df.where(near).join(flagged, bucket == flagged["bucket"], "left_semi")
     return _first(rows, key, n)
 
 

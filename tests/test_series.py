@@ -219,3 +219,41 @@ def test_frequency_falls_back_to_day(spark, sf_dir):
     assert series.infer_frequency(ds["orders"], "o_orderdate").first().unit == "day"
     spec = anomalies.series_spec(ds["events"], "events", "ts", "value", ORDERS_AS_OF, through_max=True)
     assert spec.unit in ("hour", "day")
+
+
+def test_far_steps_cost_no_more_than_near_ones():
+    """A step millions ahead equals the limit of the recursion, and near ones are unchanged."""
+    from types import SimpleNamespace
+
+    import numpy as np
+
+    from dqloom.operators.arima_solve import _path
+
+    for d in (0, 1):
+        model = SimpleNamespace(intercept=2.0, ar=[0.6, -0.1], ma=[0.3], last_z=[5.0, 4.0], last_e=[1.0], d=d, last_y=100.0, sigma=2.0)
+        near_mean, near_se = _path(model, np.arange(1, 400))
+        mean, se = _path(model, np.array([3, 399, 4_200_000_000]))
+        assert np.allclose(mean[:2], near_mean[[2, 398]]) and np.allclose(se[:2], near_se[[2, 398]])
+        level = 2.0 / (1 - 0.6 + 0.1)
+        if d:
+            assert abs(mean[2] - (near_mean[-1] + (4_200_000_000 - 399) * level)) < 1e-3 * abs(mean[2])
+        else:
+            assert abs(mean[2] - level) < 1e-9 and abs(se[2] - near_se[-1]) < 1e-9
+
+
+def test_long_error_messages_are_kept_whole(spark):
+    from dqloom.plans.execute import _outcome
+    from pyspark.sql import Row
+
+    assert len(_outcome(Row(rule_id="r"), None, ValueError("x" * 5000), 0.0)[2]) > 5000
+
+
+def test_shared_folder_must_be_named():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from dqloom.session import shared_folder
+
+    with pytest.raises(RuntimeError):
+        shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None)))
