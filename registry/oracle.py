@@ -734,3 +734,12 @@ ORACLE["n3_null_profile_footers"] = union(
         for c, _ in columns_of(t)
     ]
 )
+ORACLE["t11_difference_order"] = (
+    f"WITH {EVENTS}, e AS (SELECT row_number() OVER (ORDER BY bucket) AS i, y - avg(y) OVER () AS e FROM filled), "
+    "w AS (SELECT count(*) AS n, CAST(floor(4 * pow(count(*) / 100.0, 0.25)) AS BIGINT) AS w, sum(e * e) AS c0 FROM e), "
+    "s AS (SELECT sum(q * q) AS ss FROM (SELECT sum(e) OVER (ORDER BY i) AS q FROM e) AS x), "
+    "c AS (SELECT k, sum(a.e * b.e) AS p FROM w, range(1, 25) AS r(k), e AS a JOIN e AS b ON true WHERE k <= w AND a.i = b.i + k GROUP BY k), "
+    "t AS (SELECT sum(2 * (1 - k / (w + 1.0)) * p) AS t FROM c, w), "
+    "f AS (SELECT n, ss / (n * (c0 + t)) AS kpss FROM w, s, t) "
+    "SELECT 'events' AS series_id, n, round(kpss, 6) AS kpss, CASE WHEN kpss > 0.463 THEN 1 ELSE 0 END AS d FROM f"
+)

@@ -392,10 +392,15 @@ def _(ds: Dataset):
     )
 
 
-@query("a1_anomaly_check_auto_order", "events", "orders_dirty")
+@query("t11_difference_order", "events")
+def _(ds: Dataset):
+    """The stationarity statistic and the difference order it asks for."""
+    return arima.difference_order(_events_hourly(ds)).select("series_id", "n", rounded("kpss"), "d")
+
+
+@query("a1_anomaly_check_auto_order", "orders_dirty")
 def _(ds: Dataset):
     """Flags of automatic-order models on the newest days they were trained on."""
-    ds = ds.only("orders_dirty")
     spec = anomalies.series_spec(
         ds["orders_dirty"], "orders_dirty", "o_orderdate", "o_totalprice", ORDERS_AS_OF
     )
