@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.names import col
-from ..functions.text import violates
+from ..functions.text import spelling_key, violates
 from .checks import duplicate_values, orphan_values
+from .patterns import case_variants
 from .series import bucket_of
 
 SAMPLE_SIZE = 10
@@ -92,6 +93,18 @@ def sample_orphans(
     return sample_values(child, key, column, bad, n)
 
 
+def sample_variants(df: DataFrame, key: str, column: str, n: int = SAMPLE_SIZE) -> DataFrame:
+    """First rows by (spelling key, id) among values that differ by case or outer blanks only.
+
+    Each varied key has several rows, so the ``n`` smallest keys hold the answer; as
+    literals they keep the table where it is.
+    """
+    found = case_variants(df, column).select("spelling_key").orderBy("spelling_key").limit(n)
+    spelled = spelling_key(col(column))
+    rows = df.where(spelled.isin([r.spelling_key for r in found.collect()]))
+    return _first(rows, key, n, spelled)
+
+
 def sample_anomalies(
     df: DataFrame,
     key: str,

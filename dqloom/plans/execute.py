@@ -21,7 +21,7 @@ from ..session import small_frame
 from ..sources.catalog import key_column
 from ..sources.dataset import Dataset, has_table
 from ..sources.store import RESULT_SCHEMA, RULE_SCHEMA, SAMPLE_SCHEMA
-from .generate import DUPLICATES, FLAGS_VIEW, ORPHANS, SERIES
+from .generate import DUPLICATES, FLAGS_VIEW, ORPHANS, SERIES, VARIANTS
 
 WORKERS = 10
 
@@ -369,7 +369,7 @@ def _sample_failing(run: _Run, rules: list[Row]) -> tuple[list[tuple], dict[str,
     for rule in rules:
         if rule.failure_predicate is not None:
             by_table.setdefault(rule.source_table_id, []).append(rule)
-        elif rule.rule_id in run.bad_values or rule.engine == SERIES:
+        elif rule.rule_id in run.bad_values or rule.engine in (SERIES, VARIANTS):
             waiting.append(([rule], _submit(run, _sample_single, rule)))
     for table, group in by_table.items():
         waiting.append((group, _submit(run, _sample_rows, table, group)))
@@ -401,6 +401,8 @@ def sample_for(run: _Run, rule: Row) -> DataFrame | None:
     key = key_column(df)
     if rule.rule_id in run.bad_values:
         return samples.sample_values(df, key, rule.metric_column, run.bad_values[rule.rule_id])
+    if rule.engine == VARIANTS:
+        return samples.sample_variants(df, key, rule.metric_column)
     if rule.engine == SERIES and run.flags is not None:
         name = anomalies.model_name(rule.source_table_id, rule.metric_column)
         flags = run.flags.where(F.col("series_id") == name)

@@ -26,8 +26,9 @@ STRING_FORMATTING = "String Formatting"
 ANOMALY_DETECTION = "Anomaly Detection"
 REFERENTIAL_INTEGRITY = "Referential Integrity"
 
-# How the engine runs rules without a row predicate; a rule without any runs its SQL.
-DUPLICATES, ORPHANS, SERIES = "duplicates", "orphans", "series"
+# How the engine counts or samples rules without a row predicate; a rule without any of
+# these runs its SQL and has no samples. Variants are counted by their SQL.
+DUPLICATES, ORPHANS, SERIES, VARIANTS = "duplicates", "orphans", "series", "variants"
 
 # Tables profiled at the same time.
 TABLE_WORKERS = 5
@@ -210,7 +211,10 @@ def format_rules(catalog: DataFrame, dataset: Dataset, patterns: DataFrame) -> D
         quoted(F.col("table_name")), column, column, column, column, column,
     )
     rules.append(
-        _rules(filled, dataset, STRING_FORMATTING, variants, describe("case_variants", *names))
+        _rules(
+            filled, dataset, STRING_FORMATTING, variants, describe("case_variants", *names),
+            engine=F.lit(VARIANTS),
+        )
     )
     return reduce(DataFrame.unionByName, rules)
 

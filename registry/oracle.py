@@ -743,3 +743,25 @@ ORACLE["t11_difference_order"] = (
     "f AS (SELECT n, ss / (n * (c0 + t)) AS kpss FROM w, s, t) "
     "SELECT 'events' AS series_id, n, round(kpss, 6) AS kpss, CASE WHEN kpss > 0.463 THEN 1 ELSE 0 END AS d FROM f"
 )
+VARIED = (
+    "lower(trim(o_orderpriority)) IN (SELECT lower(trim(o_orderpriority)) FROM orders_dirty WHERE o_orderpriority IS NOT NULL "
+    "GROUP BY 1 HAVING count(DISTINCT o_orderpriority) > 1)"
+)
+ORACLE["e5_samples_of_format_rules"] = dirty(
+    union(
+        [
+            f"SELECT {value(checked)} AS checked, source_id_val AS source_id FROM ({rows}) AS q"
+            for checked, rows in (
+                (
+                    "`o_orderpriority` IS NOT NULL AND length(`o_orderpriority`) = 0",
+                    first_ten("orders_dirty", "o_orderkey", "o_orderpriority = ''"),
+                ),
+                (
+                    "length(`o_orderpriority`) NOT BETWEEN 1 AND 9",
+                    first_ten("orders_dirty", "o_orderkey", "length(o_orderpriority) NOT BETWEEN 1 AND 9"),
+                ),
+                ("variants", first_ten("orders_dirty", "o_orderkey", VARIED, "lower(trim(o_orderpriority))")),
+            )
+        ]
+    )
+)

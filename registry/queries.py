@@ -658,6 +658,18 @@ def _(ds: Dataset):
     )
 
 
+@query("e5_samples_of_format_rules", "orders_dirty")
+def _(ds: Dataset):
+    """Samples of every failing format rule of a column without a clear pattern."""
+    bounds = [("orders_dirty", "o_orderpriority", None, 1.0, 9.5)]
+    known = small_frame(ds.spark, bounds, "table_name string, column_name string, regex string, low double, high double")
+    columns = catalog.column_catalog(ds).where("column_name = 'o_orderpriority'")
+    rules = generate.format_rules(columns, ds, known)
+    outcome = run_rules(ds, rules)
+    listed = rules.select("rule_id", F.coalesce("failure_predicate", "engine").alias("checked"))
+    return outcome.samples.join(listed, "rule_id").select("checked", "source_id")
+
+
 @query("s12_store_round_trip", *RUN_TABLES)
 def _(ds: Dataset):
     """Rules written and read back, run, results written and read back."""
