@@ -10,13 +10,14 @@ first shingles are looked at, and only those that two different sets have:
 2. first shingles with least and largest set, combined before the shuffle; those of two sets
    become a bitmap of fixed size;
 3. first shingles that pass it, and for each document its size, two hashes of its set and
-   its signature, a hashed bitmap of ``SIGNATURE`` bits. Documents with equal sets are one node
+   its signature, a hashed bitmap as wide as the set asks for. Documents with equal sets are one node
    from here on;
 4. each node is paired with the least and the largest node of each of its shingles, which is
    enough to join most groups, in as many pairs as there are rows;
 5. the other pairs: shingles whose nodes are still in several components are cut into tiles,
    a large group into bands of sizes that can match and blocks of at most ``TILE`` nodes. Tiles
-   compare signatures; of pairs within one component nothing more has to be known.
+   compare signatures; of pairs within one component nothing more has to be known, so first
+   one pair of each two components is checked, then the pairs still between components.
 
 Pairs of steps 4 and 5 are checked alike: sizes, then the bound that the bits in which two
 signatures differ put on the overlap, then the exact intersection of the sorted sets, read from
@@ -43,50 +44,82 @@ from dqloom.llm import common as c
 SHINGLE = 5
 PERCENT = 75
 CELL_BITS = 18
-SIGNATURE = 1024
+# Bits of the narrowest and the widest signature.
+SIGNATURES = 1024, 1 << 16
 TILE = 1024
 ROWS = "token long, s1 long, s2 long, id long, rk long, n long, signature binary"
 
 
-def _sets(batch: list[bytes], seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Text numbers and shingle hashes, distinct, sorted by both."""
-    words = [t.lower().split() for t in batch]
-    sizes = np.array([len(w) for w in words], np.int64)
-    hashes = c.Windows(c.word_hashes([w for doc in words for w in doc]))
-    text = np.repeat(np.arange(len(batch)), sizes)
-    spans = hashes.every(SHINGLE)
-    whole = np.flatnonzero(text[: len(spans)] == text[SHINGLE - 1 :][: len(spans)]) if len(spans) else np.empty(0, np.int64)
-    short = np.flatnonzero((sizes > 0) & (sizes < SHINGLE))
-    ends = np.cumsum(sizes)
-    tokens = np.concatenate([spans[whole], hashes.at(ends[short] - sizes[short], ends[short]) + c.mixed(sizes[short].astype(c.U64))])
-    tokens = c.mixed(tokens ^ c.U64(seed))
-    text = np.concatenate([text[whole], short])
-    order = np.lexsort((tokens, text))
-    tokens, text = tokens[order], text[order]
-    new = np.ones(len(tokens), bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (text[1:] != text[:-1])
-    return text[new], tokens[new]
+def _shingles(batch: list[bytes], seed: int) -> list[np.ndarray]:
+    """The shingle hashes of each text, in the order of the text."""
+    sizes, symbols = c.hashed_words([t.lower() for t in batch])
+    hashes = c.Windows(symbols)
+    spans = c.mixed(hashes.every(SHINGLE) ^ c.U64(seed))
+    out, at = [], 0
+    for n in sizes.tolist():
+        if n >= SHINGLE:
+            out.append(spans[at : at + n - SHINGLE + 1])
+        else:
+            whole = hashes.at(np.array([at] * (n > 0), np.int64), np.array([at + n] * (n > 0), np.int64))
+            out.append(c.mixed((whole + c.mixed(np.full(len(whole), n, c.U64))) ^ c.U64(seed)))
+        at += n
+    return out
+
+
+def _set_of(shingles: np.ndarray) -> np.ndarray:
+    """The distinct hashes, sorted."""
+    shingles = np.sort(shingles)
+    new = np.ones(len(shingles), bool)
+    new[1:] = shingles[1:] != shingles[:-1]
+    return shingles[new]
 
 
 def _signature(tokens: np.ndarray) -> bytes:
-    """A bit is set if an odd number of shingles fall on it."""
-    odd = np.bincount((tokens & c.U64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) & 1
+    """A bit is set if an odd number of shingles fall on it; at least two bits a shingle, up
+    to the widest signature."""
+    width = SIGNATURES[0]
+    while width < min(2 * len(tokens), SIGNATURES[1]):
+        width *= 2
+    odd = np.bincount((tokens & c.U64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+class Signatures:
+    """Signatures of several widths; a wider one is folded to compare it with a narrower."""
+
+    def __init__(self, signatures: list[bytes]):
+        self.widths = np.array([len(x) for x in signatures], np.int64)
+        self.folded: dict[int, np.ndarray] = {}
+        self.row: dict[int, np.ndarray] = {}
+        for width in np.unique(self.widths).tolist():
+            rows = np.flatnonzero(self.widths >= width)
+            self.row[width] = np.full(len(signatures), -1)
+            self.row[width][rows] = np.arange(len(rows))
+            same = [np.bitwise_xor.reduce(np.frombuffer(signatures[i], c.U64).reshape(-1, width // 8), 0) for i in rows.tolist()]
+            self.folded[width] = np.stack(same)
+
+    def differ(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """In how many bits the signatures of pairs differ."""
+        out = np.zeros(len(a), np.int64)
+        least = np.minimum(self.widths[a], self.widths[b])
+        for width in np.unique(least).tolist():
+            at = np.flatnonzero(least == width)
+            have, row = self.folded[width], self.row[width]
+            out[at] = np.bitwise_count(have[row[a[at]]] ^ have[row[b[at]]]).sum(1, dtype=np.int64)
+        return out
+
+
 def needed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The least overlap with which sets of these sizes link."""
     return -(-PERCENT * (x + y) // (100 + PERCENT))
 
 
-def _possible(nx, ny, sx: np.ndarray, sy: np.ndarray) -> np.ndarray:
-    """Whether pairs can link, by size and by the bits in which signatures differ."""
-    differ = np.bitwise_count(sx ^ sy).sum(1, dtype=np.int64)
-    return (100 * np.minimum(nx, ny) >= PERCENT * np.maximum(nx, ny)) & ((nx + ny - differ) // 2 >= needed(nx, ny))
-
-
-def _words_of(signatures) -> np.ndarray:
-    return np.frombuffer(b"".join(signatures), c.U64).reshape(-1, SIGNATURE // 64)
+def _possible(n: np.ndarray, signatures: Signatures, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of rows can link, by size and by the bits in which signatures differ."""
+    good = 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
+    a, b = a[good], b[good]
+    good[good] = (n[a] + n[b] - signatures.differ(a, b)) // 2 >= needed(n[a], n[b])
+    return good
 
 
 def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
@@ -96,8 +129,8 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
     def cells(frames):
         out = np.zeros(1 << CELL_BITS, np.int64)
         for frame in c.chunks(frames):
-            tokens = _sets(frame["text"].tolist(), seed)[1]
-            out += np.bincount((tokens >> c.U64(64 - CELL_BITS)).astype(np.int64), minlength=len(out))
+            tokens = np.concatenate(_shingles(frame["text"].tolist(), seed))
+            np.add.at(out, (tokens >> c.U64(64 - CELL_BITS)).astype(np.int64), 1)
         return out
 
     counts = c.task_sums(docs, cells, 1 << CELL_BITS)
@@ -105,20 +138,24 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
     crowd = np.where(counts > 4 * mean, 1 + np.log2(np.maximum(counts / (4 * mean), 1)).astype(np.int64), 0).astype(np.uint8)
     sent = docs.sparkSession.sparkContext.broadcast(crowd)
 
-    def first(frame: pd.DataFrame):
-        text, tokens = _sets(frame["text"].tolist(), seed)
-        n = np.bincount(text, minlength=len(frame))
-        bounds = np.append(0, np.cumsum(n))
-        s1 = np.array([xxhash.xxh3_64_intdigest(tokens[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:])], c.U64)
-        order = np.lexsort((tokens, sent.value[tokens >> c.U64(64 - CELL_BITS)], text))
-        nth = np.arange(len(tokens)) - bounds[:-1][text]
-        take = order[nth < (n - -(-PERCENT * n // 100) + 1)[text]]
-        return text, tokens, n, bounds, s1, take
+    def first(tokens: np.ndarray) -> np.ndarray:
+        """The first shingles of a set: less crowded cells before others, then by hash."""
+        n = len(tokens)
+        if not n:
+            return tokens
+        cells = sent.value[tokens >> c.U64(64 - CELL_BITS)]
+        order = tokens[np.argsort(cells, kind="stable")] if cells.any() else tokens
+        return order[: n - -(-PERCENT * n // 100) + 1]
+
+    def sets(frame: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
+        found = [_set_of(x) for x in _shingles(frame["text"].tolist(), seed)]
+        return found, np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], c.U64)
 
     def anchors(frames):
         for frame in c.chunks(frames):
-            text, tokens, _, _, s1, take = first(frame)
-            yield pd.DataFrame({"token": c.signed(tokens[take]), "s1": c.signed(s1[text[take]])})
+            found, s1 = sets(frame)
+            take = [first(x) for x in found]
+            yield pd.DataFrame({"token": c.signed(np.concatenate(take)), "s1": c.signed(np.repeat(s1, [len(x) for x in take]))})
 
     shared = docs.mapInPandas(anchors, "token long, s1 long").groupBy("token").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
     shared = c.stored(shared.where("lo < hi").select("token"))
@@ -126,13 +163,15 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
 
     def rows(frames):
         for frame in c.chunks(frames):
-            text, tokens, n, bounds, s1, take = first(frame)
-            take = take[passes.passes(tokens[take])]
-            sets = [tokens[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-            s2 = np.array([xxhash.xxh64_intdigest(x.tobytes(), 1) for x in sets], c.U64)
-            ids, rk = frame["id"].to_numpy(), frame["rk"].to_numpy()
-            yield pd.DataFrame({"token": None, "s1": c.signed(s1), "s2": c.signed(s2), "id": ids, "rk": rk, "n": n, "signature": [_signature(x) for x in sets]})
-            yield pd.DataFrame({"token": c.signed(tokens[take]), "s1": c.signed(s1[text[take]]), "s2": None, "id": None, "rk": None, "n": None, "signature": None})
+            found, s1 = sets(frame)
+            take = [first(x) for x in found]
+            s1_of = np.repeat(s1, [len(x) for x in take])
+            take = np.concatenate(take)
+            good = passes.passes(take)
+            s2 = np.array([xxhash.xxh64_intdigest(x.tobytes(), 1) for x in found], c.U64)
+            n = [len(x) for x in found]
+            yield pd.DataFrame({"token": None, "s1": c.signed(s1), "s2": c.signed(s2), "id": frame["id"], "rk": frame["rk"], "n": n, "signature": [_signature(x) for x in found]})
+            yield pd.DataFrame({"token": c.signed(take[good]), "s1": c.signed(s1_of[good]), "s2": None, "id": None, "rk": None, "n": None, "signature": None})
 
     return c.stored(docs.mapInPandas(rows, ROWS), (shared,))
 
@@ -142,17 +181,15 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> Da
     wanted = c.stored(nodes.join(pairs.select("x").union(pairs.select("y")).distinct(), F.col("s1") == F.col("x"), "left_semi").select("s1", "id"))
     passes = c.BitFilter(wanted.select(F.xxhash64("id").alias("key")))
 
-    def sets(frames):
+    def wanted_sets(frames):
         for frame in c.chunks(frames):
             frame = frame[passes.passes(frame["key"].to_numpy().view(c.U64))].reset_index(drop=True)
             if len(frame):
-                text, tokens = _sets(frame["text"].tolist(), seed)
-                bounds = np.searchsorted(text, np.arange(len(frame) + 1))
-                packed = [tokens[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                packed = [_set_of(x).tobytes() for x in _shingles(frame["text"].tolist(), seed)]
                 s1 = np.array([xxhash.xxh3_64_intdigest(p) for p in packed], c.U64)
                 yield pd.DataFrame({"id": frame["id"], "s1": c.signed(s1), "set": packed})
 
-    found = docs.withColumn("key", F.xxhash64("id")).mapInPandas(sets, "id long, s1 long, set binary")
+    found = docs.withColumn("key", F.xxhash64("id")).mapInPandas(wanted_sets, "id long, s1 long, set binary")
     found = c.stored(found.join(wanted, ["s1", "id"], "left_semi").dropDuplicates(["s1"]))
 
     def overlap(frames):
@@ -177,7 +214,9 @@ def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def screen(frames):
         for frame in frames:
-            good = _possible(frame["nx"].to_numpy(), frame["ny"].to_numpy(), _words_of(frame["sx"]), _words_of(frame["sy"]))
+            n = np.concatenate([frame["nx"].to_numpy(), frame["ny"].to_numpy()])
+            at = np.arange(len(frame))
+            good = _possible(n, Signatures([*frame["sx"], *frame["sy"]]), at, at + len(frame))
             yield frame.loc[good, ["x", "y"]]
 
     return pairs.mapInPandas(screen, "x long, y long")
@@ -229,7 +268,7 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
     tile, n, root, s1 = (held[k].to_numpy() for k in ("tile", "n", "root", "s1"))
     block, band, low, cross = (held[k].to_numpy() for k in ("block", "band", "low", "i"))
     cross = cross != held["j"].to_numpy()
-    words = _words_of(held["signature"])
+    signatures = Signatures(held["signature"].tolist())
     x, y = [], []
     at = np.arange(len(held))
     for d in range(1, len(held)):
@@ -239,12 +278,25 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
         if not len(at):
             break
         a = at[(root[at] != root[at + d]) & ((block[at] != block[at + d]) | ~cross[at]) & (band[at] == low[at])]
-        a = a[_possible(n[a], n[a + d], words[a], words[a + d])] if len(a) else a
+        a = a[_possible(n, signatures, a, a + d)] if len(a) else a
         x.append(np.minimum(s1[a], s1[a + d]))
         y.append(np.maximum(s1[a], s1[a + d]))
     return pd.DataFrame({"x": np.concatenate(x) if x else [], "y": np.concatenate(y) if y else []}).drop_duplicates()
 
 
+def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``s1`` and ``root``, the least doc_id of the component, of each node."""
+    found = nodes.select("s1", "id").join(c.components(links), F.col("id") == F.col("node"), "left")
+    return c.stored(found.select("s1", F.coalesce("root", "id").alias("root")))
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The ``pairs`` of nodes in different components ``rx`` < ``ry``."""
+    for side in "xy":
+        pairs = pairs.join(roots.select(F.col("s1").alias(side), F.col("root").alias(f"r{side}")), side)
+    return pairs.where("rx != ry").select("x", "y", F.least("rx", "ry").alias("rx"), F.greatest("rx", "ry").alias("ry"))
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id linked with it over any
     number of links, for each row of ``docs``."""
@@ -263,13 +315,17 @@ def joined(docs: DataFrame) -> DataFrame:
     pairs = star.select(F.col("s1").alias("x"), F.col("lo").alias("y")).union(star.select("s1", "hi")).where("x != y")
     pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     links = _links(docs, nodes, c.stored(_screened(pairs, nodes)), seed)
-    groups = c.components(links)
-    roots = nodes.select("s1", "id").join(groups, F.col("id") == F.col("node"), "left")
-    roots = c.stored(roots.select("s1", F.coalesce("root", "id").alias("root")))
+    roots = _roots(nodes, links)
     rest = c.stored(_tiles(shared, nodes, roots), (shared,))
-    if not rest.isEmpty():
-        groups = c.components(links.union(_links(docs, nodes, rest, seed)))
-        roots = nodes.select("s1", "id").join(groups, F.col("id") == F.col("node"), "left").select("s1", F.coalesce("root", "id").alias("root"))
+    for every in (False, True):  # first one pair of each two components, then what is left
+        apart = _apart(rest, roots)
+        if not every:
+            apart = apart.groupBy("rx", "ry").agg(F.min(F.struct("x", "y")).alias("p")).select("p.x", "p.y")
+        apart = c.stored(apart.select("x", "y"))
+        if apart.isEmpty():
+            break
+        links = links.union(_links(docs, nodes, apart, seed))
+        roots = _roots(nodes, links)
     out = each.select("id", "n", "s1").join(roots, "s1", "left")
     out = out.select("id", "n", F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id")).alias("root"))
     return out.select(c.shown_id(), F.col("n").alias("n_shingles"), F.when(F.col("root") != c.LAST_ID, F.col("root")).alias("component_id"))

@@ -41,9 +41,7 @@ ROWS = "k1 long, k2 long, id long, rk long, start int, n int, edges binary"
 
 
 def _walk(frame: pd.DataFrame, k: int):
-    words = [t.split() for t in frame["text"]]
-    sizes = np.array([len(w) for w in words], np.int64)
-    symbols = c.word_hashes([w for doc in words for w in doc])
+    sizes, symbols = c.hashed_words(frame["text"].tolist())
     hashes = c.Windows(symbols)
     return sizes, symbols, hashes, c.super_windows(hashes, sizes, k, min(ANCHOR_WORDS, k))
 

@@ -35,14 +35,13 @@ HOT = 4096
 BATCH = 100_000
 PIECE = 1 << 18
 ROWS = "k1 long, k2 long, id long, rk long, start int, n int, again boolean, bytes binary"
-_SYMBOLS = c.mixed(np.arange(1, 257, dtype=c.U64) * c.U64(0x9E3779B97F4A7C15))
-_OTHERS = c.mixed(_SYMBOLS)
+_OTHERS = c.mixed(c.BYTE_SYMBOLS)
 
 
 def _walk(frame: pd.DataFrame, length: int):
     joined = np.frombuffer(b"".join(frame["text"]), np.uint8)
     sizes = np.array([len(t) for t in frame["text"]], np.int64)
-    hashes = c.Windows(_SYMBOLS[joined])
+    hashes = c.Windows(c.BYTE_SYMBOLS[joined])
     return joined, sizes, hashes, c.super_windows(hashes, sizes, length, min(ANCHOR_BYTES, length))
 
 
