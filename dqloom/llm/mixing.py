@@ -89,6 +89,8 @@ def taken(docs: DataFrame, labels: DataFrame | None = None, seed: int = 7) -> Da
         sized = sized.join(quality, "doc_id", "left").withColumn("quality", F.coalesce(known[F.col("label")], F.lit(1.0)))
     keyed = sized.withColumn("key", -F.log(uniform(seed, F.col("doc_id"), F.col("text_key"))) / F.col("quality"))
     keyed = keyed.withColumn("slot", F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * SLOTS), F.lit(SLOTS - 1)))
+    # numbers of one row a document: the texts are read once
+    keyed = c.stored(keyed)
     slots = keyed.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     ahead = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = slots.withColumn("ahead", F.coalesce(F.sum("slot_size").over(ahead), F.lit(0)))
@@ -101,7 +103,8 @@ def taken(docs: DataFrame, labels: DataFrame | None = None, seed: int = 7) -> Da
     rest = F.col("target") - epochs * F.col("source_size")
     fits = (F.col("ahead") + F.col("before") + F.col("size") <= rest) & (F.col("size") > 0)
     placed = placed.withColumns({"epochs": epochs.cast("long"), "rest": rest, "fits": fits})
-    placed = c.stored(placed.select("doc_id", "text_key", "source", "key", "size", "source_size", "target", "epochs", "rest", "fits"))
+    placed = placed.select("doc_id", "text_key", "source", "key", "size", "source_size", "target", "epochs", "rest", "fits")
+    placed = c.stored(placed, (keyed,))
     gaps = placed.groupBy("source").agg((F.max("rest") - F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0))).alias("gap"))
     gaps = gaps.withColumnRenamed("source", "of")
     off = F.abs(F.col("size") - F.col("gap"))
