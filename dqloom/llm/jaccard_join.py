@@ -27,8 +27,9 @@ Sets are told apart by 64 bits while a second hash finds no two sets that share
 otherwise the run is made again with another seed. Shingles are told apart by 64 bits.
 
 In every case: no text and no words: size 0 and linked with nothing, not even its like; under
-``SHINGLE`` words: one shingle; a missing doc_id sorts last; rows that agree in doc_id are one
-node of the result; extra columns are not read.
+``SHINGLE`` words: one shingle; a missing doc_id sorts last. A node is a set, never a doc_id: rows
+without doc_id, or with one doc_id, are in one component only if their texts link; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -177,7 +178,7 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
-    """The ``pairs`` (``x``, ``y``: sets) that link, as least doc_ids of both sets."""
+    """The ``pairs`` (``x``, ``y``: sets) that link: least doc_ids ``x``, ``y`` of both sets, and the sets ``sx``, ``sy``."""
     wanted = c.stored(nodes.join(pairs.select("x").union(pairs.select("y")).distinct(), F.col("s1") == F.col("x"), "left_semi").select("s1", "id"))
     passes = c.BitFilter(wanted.select(F.xxhash64("id").alias("key")))
 
@@ -199,12 +200,12 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> Da
                 a, b = np.frombuffer(a, c.U64), np.frombuffer(b, c.U64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(100 * both >= PERCENT * (len(a) + len(b) - both))
-            yield frame.loc[good, ["x", "y"]]
+            yield frame.loc[good, ["x", "y", "sx", "sy"]]
 
     both = pairs.join(found.select(F.col("s1").alias("x"), F.col("id").alias("xi"), F.col("set").alias("xs")), "x")
     both = both.join(found.select(F.col("s1").alias("y"), F.col("id").alias("yi"), F.col("set").alias("ys")), "y")
-    both = both.select(F.col("xi").alias("x"), F.col("yi").alias("y"), "xs", "ys")
-    return c.stored(both.mapInPandas(overlap, "x long, y long"), (found, wanted))
+    both = both.select(F.col("xi").alias("x"), F.col("yi").alias("y"), F.col("x").alias("sx"), F.col("y").alias("sy"), "xs", "ys")
+    return c.stored(both.mapInPandas(overlap, "x long, y long, sx long, sy long"), (found, wanted))
 
 
 def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -285,9 +286,13 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
 
 
 def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``s1`` and ``root``, the least doc_id of the component, of each node."""
-    found = nodes.select("s1", "id").join(c.components(links), F.col("id") == F.col("node"), "left")
-    return c.stored(found.select("s1", F.coalesce("root", "id").alias("root")))
+    """``s1``, ``root``, a set that names the component, and ``least``, its least doc_id, of each node."""
+    # ordered by doc_id, told apart by set: other sets may have the same doc_id, or none as well
+    side = lambda i, s1: F.struct(F.col(i).alias("id"), F.col(s1).alias("s1"))
+    ends = c.components(links.select(side("x", "sx").alias("x"), side("y", "sy").alias("y")))
+    ends = ends.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("root"), F.col("root.id").alias("least"))
+    found = nodes.select("s1", "id").join(ends, "s1", "left")
+    return c.stored(found.select("s1", F.coalesce("root", "s1").alias("root"), F.coalesce("least", "id").alias("least")))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -297,10 +302,9 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.where("rx != ry").select("x", "y", F.least("rx", "ry").alias("rx"), F.greatest("rx", "ry").alias("ry"))
 
 
-def joined(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id linked with it over any
-    number of links, for each row of ``docs``."""
-    docs = c.texts(docs)
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``id``, ``rk``, ``n`` and, with words, ``root`` and ``least`` (see ``_roots``) of each row of
+    ``docs``, which is as of ``common.texts``."""
     for seed in range(100):
         found = _first_tokens(docs, seed)
         each = found.where("token is null")
@@ -326,18 +330,28 @@ def joined(docs: DataFrame) -> DataFrame:
             break
         links = links.union(_links(docs, nodes, apart, seed))
         roots = _roots(nodes, links)
-    out = each.select("id", "n", "s1").join(roots, "s1", "left")
-    out = out.select("id", "n", F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("id")).alias("root"))
-    return out.select(c.shown_id(), F.col("n").alias("n_shingles"), F.when(F.col("root") != c.LAST_ID, F.col("root")).alias("component_id"))
+    out = each.select("id", "rk", "n", "s1").join(roots, "s1", "left")
+    return out.select("id", "rk", "n", *[F.when(F.col("n") > 0, F.col(k)).alias(k) for k in ("root", "least")])
+
+
+def joined(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id linked with it over any
+    number of links, for each row of ``docs``."""
+    out = _grouped(c.texts(docs)).withColumn("least", F.coalesce("least", "id"))
+    return out.select(c.shown_id(), F.col("n").alias("n_shingles"), c.shown_id("least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each component, that of its least doc_id, with its own columns;
-    of rows that agree in doc_id, the one with the least hash of its text."""
+    of rows of it that agree in doc_id, the one with the least hash of its text. A row without
+    words is a component; copies of it, equal in doc_id and text, are one row."""
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id, text = (f"c{names.index(n)}" for n in ("doc_id", "text"))
-    least = joined(docs.select("doc_id", "text")).where("doc_id <=> component_id").select(F.col("doc_id").alias("of")).distinct()
-    kept = plain.join(least, F.col(doc_id).eqNullSafe(F.col("of")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(F.xxhash64(text)))
-    return kept.withColumn("nth", nth).where("nth = 1").drop("nth").toDF(*names)
+    groups = _grouped(c.texts(docs.select("doc_id", "text")))
+    first = groups.where("n > 0").groupBy("root").agg(F.min(F.struct("id", "rk")).alias("m")).select("m.*")
+    first = first.union(groups.where("n = 0").select("id", "rk").distinct())
+    own = plain.withColumns({"id": F.coalesce(F.col(doc_id).cast("long"), F.lit(c.LAST_ID)), "rk": F.xxhash64(text)})
+    nth = F.row_number().over(Window.partitionBy("id", "rk").orderBy("rk"))
+    kept = own.join(first, ["id", "rk"], "left_semi").withColumn("nth", nth).where("nth = 1")
+    return kept.select(*plain.columns).toDF(*names)

@@ -152,6 +152,22 @@ def test_one_of_each(docs, pairs, empty, nameless):
     assert sorted(r.doc_id for r in jaccard_join.one_of_each(nameless).select("doc_id").collect()) == [3, 5]
 
 
+def test_rows_that_share_a_doc_id_or_have_none_are_told_apart(spark):
+    """Unrelated rows do not meet in their missing or common doc_id."""
+    texts = [" ".join(f"{k}{i}" for i in range(60)) for k in "abcdefg"]
+    near = [t + " more" for t in texts]
+    rows = [(3, texts[0]), (7, texts[1]), (None, near[0]), (None, near[1]), (None, texts[2]), (None, texts[3]), (None, near[3])]
+    rows += [(9, texts[4]), (9, texts[5]), (5, near[5]), (None, ""), (None, None), (None, texts[2]), (8, texts[6])]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    of = [3, 7, 3, 7, None, None, None, 9, 5, 5, None, None, None, 8]
+    sizes = [len(set(zip(*[brute.words(t)[k:] for k in range(5)]))) for _, t in rows]
+    same(jaccard_join.joined(docs.drop("n")), [(i, size, c) for (i, _), size, c in zip(rows, sizes, of)])
+    left = jaccard_join.one_of_each(docs).collect()
+    groups = [{0, 2}, {1, 3}, {4, 12}, {5, 6}, {7}, {8, 9}, {10}, {11}, {13}]
+    assert sorted(next(k for k, g in enumerate(groups) if r.n in g) for r in left) == list(range(9))
+    assert sorted(r.doc_id for r in left if r.doc_id) == [3, 5, 7, 8, 9]
+
+
 def test_components(spark):
     pick = random.Random(3)
     for edges in ([(1, 2), (7, 7)], [(i, i + 1) for i in range(30)], [(pick.randrange(40), pick.randrange(40)) for _ in range(30)]):
