@@ -51,6 +51,9 @@ _CLASSES = {
     "wide": _BYTES >= 0xC0,
     "exclaimed": _BYTES == 33,
 }
+# Whether two bytes are a capital beyond ASCII, such as those of Greek and Cyrillic.
+_CAPITALS = np.zeros(1 << 16, bool)
+_CAPITALS[[int.from_bytes(chr(i).encode()) for i in range(0x80, 0x800) if chr(i).isupper()]] = True
 
 
 def _counts(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -83,6 +86,8 @@ def judged(batch: list[bytes]) -> list[tuple]:
     starts = np.append(0, breaks[:-1] + 1)
     text_of = np.searchsorted(ends, breaks, "right")
     per = {name: _counts(flags[joined], starts, breaks) for name, flags in _CLASSES.items()}
+    pairs = joined[:-1].astype(np.uint16) << 8 | joined[1:]
+    per["capitals"] += _counts(np.append(_CAPITALS[pairs], False), starts, breaks)
     solid = ~_SPACE[joined]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
@@ -127,7 +132,7 @@ def judged(batch: list[bytes]) -> list[tuple]:
     features = {
         "bias": 1.0,
         "symbols": per["symbols"] / chars,
-        "shouted": np.maximum(0, per["capitals"] / np.maximum(per["letters"], 1) - 0.5) * 2 * (per["letters"] > 3),
+        "shouted": np.maximum(0, per["capitals"] / np.maximum(letters, 1) - 0.5) * 2 * (letters > 3),
         "exclaimed": per["exclaimed"] / count,
         "letterless": letters == 0,
         "repeated": again,

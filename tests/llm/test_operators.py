@@ -112,6 +112,19 @@ def test_rules_keep_clean_texts(docs, empty, nameless):
     assert quality_rules.kept(nameless).count() == 2
 
 
+def test_acronyms_in_other_scripts_do_not_shout():
+    clean = [
+        "世界 卫生 组织 表示 , COVID 疫情 在 许多 国家 仍 在 继续 , 各国 需要 保持 警惕 。",
+        "Вчера агентство NASA сообщило, что новый аппарат успешно вышел на орбиту вокруг далёкой планеты.",
+        "Η σελίδα είναι γραμμένη σε HTML και ανοίγει εύκολα σε κάθε υπολογιστή που έχει σύνδεση.",
+        "أعلنت وكالة NASA أمس أن المركبة الجديدة وصلت بنجاح إلى مدارها حول الكوكب البعيد.",
+    ]
+    shouted = ["BUY THIS NOW AND SAVE A LOT OF MONEY ON ALL OF IT TODAY", "ÉTÉ À LA MER: DÉCOUVREZ NOS CONGÉS DÉJÀ RÉSERVÉS À PRIX RÉDUITS", "СКИДКИ НА ВСЕ ТОВАРЫ ТОЛЬКО СЕГОДНЯ И ТОЛЬКО У НАС В МАГАЗИНЕ"]
+    found = quality_rules.judged([t.encode() for t in clean + shouted])
+    assert [r[7] for r in found] == [True] * 4 + [False] * 3
+    assert [r[6] for r in found] == [1.0] * 4 + [0.0] * 3
+
+
 # --- 4: n-gram Jaccard join ------------------------------------------------------------
 
 
