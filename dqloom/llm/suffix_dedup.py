@@ -34,7 +34,7 @@ HOT = 4096
 # Suffixes ordered together in a task; a bucket is never split.
 BATCH = 100_000
 PIECE = 1 << 18
-ROWS = "k1 long, k2 long, id long, rk long, start int, n int, again boolean, bytes binary"
+ROWS = "k1 long, k2 long, id long, rk long, start int, n int, bytes binary"
 _OTHERS = c.mixed(c.BYTE_SYMBOLS)
 
 
@@ -45,15 +45,6 @@ def _walk(frame: pd.DataFrame, length: int):
     return joined, sizes, hashes, c.super_windows(hashes, sizes, length, min(ANCHOR_BYTES, length))
 
 
-def _repeats(text: np.ndarray, k1: np.ndarray, k2: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Which rows have an equal key further ahead in the same text."""
-    order = np.lexsort((start, k2, k1, text))
-    again = np.zeros(len(order), bool)
-    a, b = order[:-1], order[1:]
-    again[b] = (text[a] == text[b]) & (k1[a] == k1[b]) & (k2[a] == k2[b])
-    return again
-
-
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by keys, the last one first, and the number of the group at each place."""
     order = np.lexsort(keys)
@@ -183,15 +174,15 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
                 "rk": frame["rk"].to_numpy()[text],
                 "start": (start - base[text]).astype(np.int32),
                 "n": n.astype(np.int32),
-                "again": _repeats(text, k1, k2, start),
                 "bytes": contents,
                 "place": place.astype(np.int32),
             })
 
     parts = c.stored(docs.mapInPandas(rows, ROWS + ", place int"), (found,))
     whole = parts.where("bytes is null")
-    sources = whole.groupBy("k1", "k2").agg(F.min("id").alias("source"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    simple = whole.join(sources, ["k1", "k2"]).where("id > source or again").select("id", "rk", "start", "n")
+    least = F.min(F.struct("id", "start")).alias("source")
+    sources = whole.groupBy("k1", "k2").agg(least, F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    simple = whole.join(sources, ["k1", "k2"]).where(F.struct("id", "start") > F.col("source")).select("id", "rk", "start", "n")
 
     mixed = parts.where("bytes is not null")
     contents = (

@@ -320,6 +320,22 @@ def test_strings_of_odd_tables(empty, nameless, nameless_pairs):
     same(found, brute.byte_strings(nameless_pairs))
 
 
+@pytest.mark.parametrize("hot", [1, 4096])
+def test_strings_of_texts_that_share_a_doc_id(spark, monkeypatch, hot):
+    """Different texts with one doc_id, or none; anchors with one content and with several."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    pick = random.Random(9)
+    made = lambda n: "".join(pick.choice("abcdefghijklmnop") for _ in range(n))
+    rows = []
+    for i in (None, 4):
+        passage = made(260)
+        rows += [(i, made(10) + passage + made(30)), (i, made(500) + passage + made(20)), (i, made(40) + passage[:150] + made(40))]
+        rows += [(i, same_text := made(300)), (i, "x" + same_text)]
+    rows += [(9, rows[0][1]), rows[5]]
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    same(found.selectExpr("doc_id", "n_bytes", "n_removed", "size(spans)", "kept"), brute.byte_strings(rows))
+
+
 @pytest.mark.parametrize("length", [5, 8, 24, 30, 100])
 def test_equal_suffixes(length):
     pick = random.Random(length)
