@@ -221,6 +221,27 @@ def test_mix(spark, docs, rows, empty, nameless):
     assert mixing.taken(nameless).count() == 3
 
 
+def test_repeated_rows_stay_within_the_budget(spark, monkeypatch):
+    """Sources made mostly of one repeated row, with a doc_id and without."""
+    monkeypatch.setattr(mixing, "RUN", 16)
+    rows = [(1, "word " * 10, "a")] * 70 + [(None, "none " * 10, "b")] * 90 + [(2, "both " * 10, "c")] * 50
+    rows += [(10 + i, f"w{i} " * 10, "abc"[i % 3]) for i in range(30)]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id long, text string, source string, n int").repartition(3)
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    aim = brute.targets(sizes)
+    found, out = mixing.taken(docs).collect(), mixing.mixed(docs).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    copies = Counter(r.n for r in out)
+    for source, target in aim.items():
+        assert abs(sum(r.taken for r in found if r.source == source) - target) <= 5
+        assert abs(sum(len(r.text.split()) for r in out if r.source == source) - target) <= 5
+        of = [copies[n] for n, r in enumerate(rows) if r[2] == source]
+        assert max(of) - min(of) <= 1
+    assert Counter((r.doc_id, r.source) for r in found for _ in range(r.copies)) == Counter((r.doc_id, r.source) for r in out)
+
+
 def test_targets_are_capped_and_shared_again(spark):
     for sizes in ({"a": 1000, "b": 1, "c": 5, "d": 100}, {"a": 0, "b": 7, None: 3}, {"x": 10}):
         rows = [(s, n) for s, n in sizes.items()]
