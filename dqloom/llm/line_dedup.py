@@ -94,9 +94,9 @@ def seen_twice(docs: DataFrame, min_chars: int, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def repeated_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_chars: int = 10, bits: int = BITS) -> DataFrame:
     """``id``, ``rk`` and ``lines``: numbers of lines that an earlier document holds."""
-    sent = docs.sparkSession.sparkContext.broadcast(seen_twice(docs, min_chars))
+    sent = docs.sparkSession.sparkContext.broadcast(seen_twice(docs, min_chars, bits))
 
     def suspects(frames):
         for frame in c.chunks(frames):
@@ -110,7 +110,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
             if not out:
                 continue
             hashes = np.array([xxhash.xxh3_64_intdigest(row[0]) for row in out], c.U64)
-            good = np.flatnonzero(_have(sent.value, _places(hashes, BITS)))
+            good = np.flatnonzero(_have(sent.value, _places(hashes, bits)))
             yield pd.DataFrame([out[i] for i in good.tolist()], columns=["key", "id", "rk", "lines"])
 
     found = c.stored(docs.mapInPandas(suspects, "key binary, id long, rk long, lines array<int>"))
@@ -119,10 +119,10 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     return c.stored(gone.agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines")), (found,))
 
 
-def without_repeats(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+def without_repeats(docs: DataFrame, min_chars: int = 10, bits: int | None = None) -> DataFrame:
     """``doc_id``, ``n_lines``, ``n_dropped``, ``kept`` (the lines left, joined by ``\\n``)."""
     docs = c.texts(docs)
-    gone = repeated_lines(docs, min_chars)
+    gone = repeated_lines(docs, min_chars, bits or BITS)
 
     def cut(frames):
         for frame in c.chunks(frames):
