@@ -73,7 +73,8 @@ def _search(keys: DataFrame, key: str, goals: dict[int, tuple[float, int, int, f
                 if start < low or start >= high:
                     continue
                 for place, total in ((start, at), (start + span, at + sums[lead])):
-                    if best is None or abs(total - goal) < best[1]:
+                    # at the same error the finer boundary, which names a text
+                    if best is None or abs(total - goal) <= best[1]:
                         best = (place, abs(total - goal), total)
                 if at + sums[lead] >= goal:
                     edge = start
@@ -136,12 +137,13 @@ def sharded(docs: DataFrame, shards: int = 24) -> DataFrame:
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
     )
     # rounds read these three columns, not the texts
-    bounds = splitters(c.stored(keyed.select("h", "g", "size")), shards)
+    keys = c.stored(keyed.select("h", "g", "size"))
     shard = F.lit(0)
-    for h, g in bounds:
+    for h, g in splitters(keys, shards):
         shard = shard + ((F.col("h") > h) | ((F.col("h") == h) & (F.col("g") >= g))).cast("int")
-    placed = keyed.withColumn("shard", shard).withColumn("block", F.pmod(F.col("g"), F.lit(BLOCKS)))
-    counts = placed.groupBy("shard", "block").agg(F.count("*").alias("n"))
+    block = F.pmod(F.col("g"), F.lit(BLOCKS))
+    placed = keyed.withColumns({"shard": shard, "block": block})
+    counts = keys.groupBy(shard.alias("shard"), block.alias("block")).agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(F.col("shard").alias("of"), F.col("block").alias("at"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
     within = Window.partitionBy("shard", "block").orderBy("g", "h")
