@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqloom.llm import decontamination, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, sharding, substring_dedup, suffix_dedup, token_counts
+from dqloom.llm import decontamination, exact_dedup, jaccard_join, line_dedup, merkle_manifest, mixing, quality_classifier, quality_rules, sharding, spelling_variants, substring_dedup, suffix_dedup, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +75,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "tokens.*")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.marked(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle_manifest.manifest(documents(spark, sf_dir), *merkle_manifest.tampered())
+    shown = found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root")
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -86,4 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -1,6 +1,8 @@
 """The plain meaning of each operator, on rows in memory."""
 
+import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -144,3 +146,96 @@ def targets(sizes):
         if not over:
             return aim
         capped |= over
+
+
+def copies(rows):
+    """(doc_id, keep_id, group_size, text_sha256) of each row."""
+    groups = defaultdict(list)
+    low = lambda text: (text or "").translate(LOW)
+    for i, text in rows:
+        groups[low(text)].append(i)
+    best = {k: max((i for i in g if i is not None), default=None) for k, g in groups.items()}
+    return [(i, best[low(t)], len(groups[low(t)]), hashlib.sha256(low(t).encode()).hexdigest()) for i, t in rows]
+
+
+RUN = re.compile("[A-Za-z\u00C0-\u00FF]+")
+
+
+def variants(rows, min_length=6, min_count=5, ratio=5):
+    """(word, form, root, n, n_near, form_n) of each word."""
+    counts = Counter()
+    for i, text in rows:
+        for run in RUN.findall(text or ""):
+            run = run.translate(LOW)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    counts = {w: n for w, n in counts.items() if len(w) >= min_length and n >= min_count}
+    near = defaultdict(set)
+    by = defaultdict(set)
+    for w in counts:
+        for at in range(len(w)):
+            by[w[:at] + w[at + 1 :], at].add(w)
+            if (less := w[:at] + w[at + 1 :]) in counts:
+                near[w].add(less)
+                near[less].add(w)
+    for group in by.values():
+        for w in group:
+            near[w] |= group - {w}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        if best is not None and counts[best] >= ratio * counts[w]:
+            form[w] = best
+    out = []
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), counts[form[w]] if w in form else None))
+    return out
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def _levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([h(*out[-1][i : i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def _way(levels, at):
+    way = []
+    for level in levels[:-1]:
+        way.append((at & 1, level[at ^ 1] if at ^ 1 < len(level) else None))
+        at >>= 1
+    return way
+
+
+def merkle(rows):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of rows of five columns."""
+    part = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[2]].append((row[0], h(*map(part, row)), row))
+    langs = sorted(groups, key=lambda k: (k is not None, (k or "").encode()))
+    trees = {}
+    for k in langs:
+        groups[k].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[k] = _levels([leaf for _, leaf, _ in groups[k]])
+    top = _levels([trees[k][-1][0] for k in langs])
+    out = []
+    for number, k in enumerate(langs):
+        for at, (i, leaf, row) in enumerate(groups[k]):
+            way = _way(trees[k], at) + _way(top, number)
+            node = leaf
+            if i is not None and row[3] is not None and zlib.crc32(str(i).encode()) % 7 == 0:
+                node = h(*map(part, (*row[:3], row[3] + 1, row[4])))
+            for right, other in way:
+                node = h(node) if other is None else h(other, node) if right else h(node, other)
+            out.append((i, leaf, trees[k][-1][0], top[-1][0], h(*[o for _, o in way if o]), node, node == top[-1][0]))
+    return out
