@@ -102,3 +102,89 @@ totals AS (SELECT doc_id, count(*) AS n, sum(b - a) AS removed, max(b) AS last F
 SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN cut USING (doc_id)"""
+
+ORACLE["op11_exact_dedup"] = rf"""
+WITH d AS (SELECT doc_id, {_lowered("text")} AS t FROM documents),
+groups AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size, sha256(t) AS text_sha256 FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN groups USING (t)"""
+
+# The polynomial of crc32, and the remainders of all bytes, made from it.
+CRC_TABLE = """SELECT list(r ORDER BY n) AS remainders FROM (
+  SELECT n, list_reduce([n] || list_transform(range(8), lambda s: 0), lambda v, s: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END) AS r
+  FROM (SELECT unnest(range(256)) AS n))"""
+
+
+def _crc32(numbers: str) -> str:
+    """crc32 of a list of bytes, with ``remainders`` in scope."""
+    return f"""xor(list_reduce([CAST(4294967295 AS BIGINT)] || {numbers},
+  lambda v, b: xor(v // 256, remainders[CAST(xor(v % 256, b) AS INTEGER) + 1])), 4294967295)"""
+
+
+# Letters of a word as bytes of UTF-8: those beyond ASCII are two.
+_BYTES = r"""flatten(list_transform(string_split({}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)]
+  ELSE [CAST(195 AS BIGINT), CAST(unicode(x) - 64 AS BIGINT)] END))"""
+
+ORACLE["op12_spelling_variants"] = rf"""
+WITH RECURSIVE crc AS MATERIALIZED ({CRC_TABLE}),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id,
+  unnest(regexp_extract_all({_lowered("text")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents) AS x WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc32(_BYTES.format("doc_id || ':' || run"))} AS h FROM runs, crc),
+typed AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS part FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+near AS (SELECT DISTINCT * FROM (
+  SELECT a.word, b.word AS other, b.n AS m FROM less AS a JOIN less AS b ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT a.word, b.word, b.n FROM less AS a JOIN words AS b ON a.part = b.word
+  UNION ALL SELECT b.word, a.word, a.n FROM less AS a JOIN words AS b ON a.part = b.word) AS x),
+ranked AS (SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS nth FROM near),
+found AS MATERIALIZED (SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+  FROM words AS w LEFT JOIN (SELECT * FROM ranked WHERE nth = 1) AS r USING (word)),
+walk AS (SELECT word, coalesce(form, word) AS root, form IS NULL AS last FROM found
+  UNION ALL SELECT w.word, coalesce(f.form, w.root), f.form IS NULL FROM walk AS w JOIN found AS f ON f.word = w.root WHERE NOT w.last)
+SELECT f.word, form, root, n, n_near, form_n FROM found AS f JOIN walk AS w ON w.word = f.word AND w.last"""
+
+
+def _part(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    return "sha256(" + " || ".join(_part(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _levels(name: str, source: str) -> str:
+    """All levels of the trees of ``source`` (k, i, node, n)."""
+    return f"""{name} AS (SELECT k, 0 AS level, i, node, n FROM {source}
+  UNION ALL SELECT k, level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY k, level, i // 2, n)"""
+
+
+ORACLE["op13_merkle_manifest"] = rf"""
+WITH RECURSIVE crc AS MATERIALIZED ({CRC_TABLE}),
+leaves AS MATERIALIZED (SELECT doc_id, coalesce('+' || lang, '') AS k, {_leaf()} AS node,
+  CASE WHEN {_crc32("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf()} END AS tried
+  FROM documents, crc),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, node) - 1 AS i, count(*) OVER (PARTITION BY k) AS n FROM leaves),
+{_levels("trees", "placed")},
+nodes AS MATERIALIZED (SELECT * FROM trees),
+subroots AS MATERIALIZED (SELECT k AS lang, '' AS k, node, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_levels("uppers", "subroots")},
+tops AS MATERIALIZED (SELECT * FROM uppers),
+heights AS (SELECT k, max(level) AS height FROM nodes GROUP BY k),
+-- the ways up, level by level: the lower tree's levels, then those of the upper one
+lower AS (SELECT p.doc_id, p.k, p.i AS leaf_i, 0 + x.level AS step, x.i % 2 AS side, y.node AS other
+  FROM placed AS p JOIN nodes AS x ON x.k = p.k AND x.n > 1 AND x.i = p.i // CAST(pow(2, x.level) AS BIGINT)
+  LEFT JOIN nodes AS y ON y.k = x.k AND y.level = x.level AND y.i = xor(x.i, 1)),
+upper AS (SELECT s.lang, x.level AS step, x.i % 2 AS side, y.node AS other
+  FROM subroots AS s JOIN tops AS x ON x.n > 1 AND x.i = s.i // CAST(pow(2, x.level) AS BIGINT)
+  LEFT JOIN tops AS y ON y.level = x.level AND y.i = xor(x.i, 1)),
+ways AS (SELECT doc_id, k, leaf_i, step, side, other FROM lower
+  UNION ALL SELECT p.doc_id, p.k, p.i, height + step, side, other FROM placed AS p JOIN upper ON lang = p.k JOIN heights AS t ON t.k = p.k),
+listed AS (SELECT k, leaf_i, list(struct_pack(side := side, other := other) ORDER BY step) AS way, sha256(coalesce(string_agg(other, '' ORDER BY step), '')) AS proof
+  FROM ways GROUP BY k, leaf_i),
+results AS (SELECT p.doc_id, p.node AS leaf, s.node AS subroot, t.node AS root, coalesce(proof, sha256('')) AS proof_sha256,
+  list_reduce([struct_pack(side := CAST(0 AS BIGINT), other := p.tried)] || coalesce(way, []), lambda a, b: struct_pack(side := CAST(0 AS BIGINT),
+    other := sha256(CASE WHEN b.other IS NULL THEN a.other WHEN b.side = 1 THEN b.other || a.other ELSE a.other || b.other END))).other AS folded_root
+  FROM placed AS p JOIN subroots AS s ON s.lang = p.k JOIN (SELECT node FROM tops WHERE n = 1) AS t ON true
+  LEFT JOIN listed AS l ON l.k = p.k AND l.leaf_i = p.i)
+SELECT *, folded_root = root AS verified FROM results"""
