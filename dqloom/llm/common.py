@@ -19,6 +19,8 @@ LAST_ID = 2**63 - 1
 CHUNK_BYTES = 1 << 20
 # Words whose hashes one Python worker remembers.
 VOCABULARY = 400_000
+# Arrow sends texts to Python in batches of at most this many bytes, a longer text alone.
+BATCH_BYTES = 8 << 20
 U64 = np.uint64
 
 
@@ -68,11 +70,20 @@ def packed_spans(spans: DataFrame) -> DataFrame:
     return spans.groupBy("id", "rk").agg(F.collect_set(one).alias("spans"))
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, in a session that bounds Arrow batches by ``BATCH_BYTES``, or by less where it does so."""
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return docs
+
+
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """``id`` (missing: the largest), ``rk`` (hash of the text) and ``text`` as bytes.
 
     ``id`` and ``rk`` name a row; rows that agree in both are copies and share results.
     """
+    docs = in_small_batches(docs)
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
         F.xxhash64("text").alias("rk"),

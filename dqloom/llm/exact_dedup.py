@@ -167,6 +167,7 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _source(docs: DataFrame) -> DataFrame:
+    docs = c.in_small_batches(docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("rk"), F.col("text").cast("binary").alias("text"))
 
 

@@ -60,6 +60,7 @@ def leaf_hash(columns: dict[str, Column]) -> Column:
 def leaves(docs: DataFrame, other: dict[str, Column] | None = None, where: Column | None = None) -> DataFrame:
     """``k`` (language, the missing one first), ``doc_id``, ``leaf`` and ``other``: the leaf that a row
     would have with the columns ``other`` in the place of its own, for rows ``where`` so."""
+    docs = c.in_small_batches(docs)
     own = {n: F.col(n) for n in COLUMNS}
     changed = F.when(where, leaf_hash(own | other)) if other else F.lit(None).cast("binary")
     return docs.select(

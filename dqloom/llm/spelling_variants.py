@@ -90,6 +90,7 @@ def counted(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN_
         if held:
             yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
+    docs = c.in_small_batches(docs)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"), F.col("text").cast("binary").alias("text"))
     found = texts.mapInPandas(count, "word string, n long").where(F.char_length("word") >= min_length)
     return found.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
