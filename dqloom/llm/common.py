@@ -258,8 +258,17 @@ def whole_buckets(frames: Iterator[pd.DataFrame], key: str, weigh, limit: int) -
         yield held
 
 
+# The narrowest and the widest filter, as powers of two; the widest takes 32 MB.
+FILTER_BITS = 17, 28
+
+
+def filter_bits(members: int) -> int:
+    """Width of a filter that has about sixteen bits for each member, up to the widest."""
+    return min(max(members.bit_length() + 4, FILTER_BITS[0]), FILTER_BITS[1])
+
+
 class BitFilter:
-    """Which hashes may be in a set: a bitmap of a fixed size, whatever the set holds.
+    """Which hashes may be in a set: a bitmap of a given size.
 
     No member is ever missed. The fuller the bitmap, the more others pass, so what
     passes is always confirmed by a join or an aggregation afterwards.

@@ -13,8 +13,8 @@ ordered list of the identifiers of its chunks, and two texts are equal when thei
    a thousandth of the rows, fewer than a thousand, are broadcast; others are joined.
 
 Bytes of a chunk travel once a task, and only where its text has a copy. A bitmap tells which recipes
-do; it has eight bits for each, up to ``MOST_BITS``. Beyond that more chunks are compared than
-need be, at most each chunk of the corpus once a task; the result is the same.
+do; it has sixteen bits for each, up to 32 MB. Beyond that more chunks are compared than need
+be, at most each chunk of the corpus once a task; the result is the same.
 
 In every case: a missing text counts as an empty one, and all empty ones are equal; of equal texts
 the largest doc_id stays, a missing one only if no row has any; of rows that agree in doc_id
@@ -25,7 +25,6 @@ by ``marked`` and passed on by ``one_of_each``; an empty table gives an empty on
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import pandas as pd
@@ -43,7 +42,6 @@ MIN_CHUNK, MAX_CHUNK = 512, 1 << 14
 # One place in so many (as a power of two) ends a chunk.
 CHUNK_BITS = 11
 PIECE = 1 << 20
-LEAST_BITS, MOST_BITS = 17, 28
 # A group with over so small a share of the rows is hot.
 HOT_SHARE = 1000
 # Bytes of chunks that one task remembers as sent.
@@ -118,8 +116,7 @@ def _recipes(docs: DataFrame, width: int) -> DataFrame:
 
 def _shared(docs: DataFrame, groups: DataFrame, width: int) -> DataFrame:
     """``chunk`` with its fingerprint ``fp`` for each chunk of texts whose recipe occurs twice."""
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(8 * max(groups.count(), 1)))))
-    passes = c.BitFilter(groups.select("mark"), bits)
+    passes = c.BitFilter(groups.select("mark"), c.filter_bits(groups.count()))
 
     def emit(frames):
         sent: dict[bytes, bytes] = {}

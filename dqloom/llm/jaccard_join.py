@@ -12,16 +12,19 @@ first shingles are looked at, and only those that two different sets have:
 3. first shingles that pass it, and for each document its size, two hashes of its set and
    its signature, a hashed bitmap as wide as the set asks for. Documents with equal sets are one node
    from here on;
-4. each node is paired with the least and the largest node of each of its shingles, which is
-   enough to join most groups, in as many pairs as there are rows;
-5. the other pairs: shingles whose nodes are still in several components are cut into tiles,
-   a large group into bands of sizes that can match and blocks of at most ``TILE`` nodes. Tiles
-   compare signatures; of pairs within one component nothing more has to be known, so first
-   one pair of each two components is checked, then the pairs still between components.
+4. each node is paired with one leader, the node that leads at most of its shingles; then, where it is
+   still apart from them, with all leaders and with the least and the largest node of each of its
+   shingles. That is enough to join most groups, in as many pairs as there are rows;
+5. the other pairs: shingles whose nodes are still in several components are cut into tiles, of
+   shingles with the same nodes only one; a large group into bands of sizes that can match and
+   blocks of at most ``TILE`` nodes. Tiles compare signatures; of pairs within one component
+   nothing more has to be known, so first one pair of each two components is checked, then
+   the pairs still between components.
 
 Pairs of steps 4 and 5 are checked alike: sizes, then the bound that the bits in which two
-signatures differ put on the overlap, then the exact intersection of the sorted sets, read from
-the texts of just these nodes. Components come from the links by joins.
+signatures differ put on the overlap, then the exact intersection of the sorted sets, made from
+the texts of just these nodes. Components come from the links by joins, each time between
+the components known before.
 
 Sets are told apart by 64 bits while a second hash finds no two sets that share them;
 otherwise the run is made again with another seed. Shingles are told apart by 64 bits.
@@ -37,6 +40,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,7 +164,7 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
 
     shared = docs.mapInPandas(anchors, "token long, s1 long").groupBy("token").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
     shared = c.stored(shared.where("lo < hi").select("token"))
-    passes = c.BitFilter(shared)
+    passes = c.BitFilter(shared, c.filter_bits(shared.count()))
 
     def rows(frames):
         for frame in c.chunks(frames):
@@ -178,33 +182,40 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> DataFrame:
-    """The ``pairs`` (``x``, ``y``: sets) that link: least doc_ids ``x``, ``y`` of both sets, and the sets ``sx``, ``sy``."""
+    """The ``pairs`` (``x``, ``y``: sets) that link: least doc_ids ``x``, ``y`` of both sets, and the sets ``sx``, ``sy``.
+
+    Texts travel compressed, which is less than their sets; a set is made once a batch.
+    """
     wanted = c.stored(nodes.join(pairs.select("x").union(pairs.select("y")).distinct(), F.col("s1") == F.col("x"), "left_semi").select("s1", "id"))
-    passes = c.BitFilter(wanted.select(F.xxhash64("id").alias("key")))
+    passes = c.BitFilter(wanted.select(F.xxhash64("id").alias("key")), c.filter_bits(wanted.count()))
 
-    def wanted_sets(frames):
+    def wanted_texts(frames):
+        pack = zstandard.ZstdCompressor(level=1)
         for frame in c.chunks(frames):
             frame = frame[passes.passes(frame["key"].to_numpy().view(c.U64))].reset_index(drop=True)
             if len(frame):
-                packed = [_set_of(x).tobytes() for x in _shingles(frame["text"].tolist(), seed)]
-                s1 = np.array([xxhash.xxh3_64_intdigest(p) for p in packed], c.U64)
-                yield pd.DataFrame({"id": frame["id"], "s1": c.signed(s1), "set": packed})
+                sets = [_set_of(x).tobytes() for x in _shingles(frame["text"].tolist(), seed)]
+                s1 = np.array([xxhash.xxh3_64_intdigest(x) for x in sets], c.U64)
+                yield pd.DataFrame({"id": frame["id"], "s1": c.signed(s1), "packed": [pack.compress(t) for t in frame["text"]]})
 
-    found = docs.withColumn("key", F.xxhash64("id")).mapInPandas(wanted_sets, "id long, s1 long, set binary")
+    found = docs.withColumn("key", F.xxhash64("id")).mapInPandas(wanted_texts, "id long, s1 long, packed binary")
     found = c.stored(found.join(wanted, ["s1", "id"], "left_semi").dropDuplicates(["s1"]))
 
     def overlap(frames):
         for frame in frames:
+            texts = dict(zip(frame["sx"].tolist(), frame["xt"])) | dict(zip(frame["sy"].tolist(), frame["yt"]))
+            unpack = zstandard.ZstdDecompressor()
+            sets = dict(zip(texts, map(_set_of, _shingles([unpack.decompress(t) for t in texts.values()], seed))))
             good = []
-            for a, b in zip(frame["xs"], frame["ys"]):
-                a, b = np.frombuffer(a, c.U64), np.frombuffer(b, c.U64)
+            for a, b in zip(frame["sx"].tolist(), frame["sy"].tolist()):
+                a, b = sets[a], sets[b]
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 good.append(100 * both >= PERCENT * (len(a) + len(b) - both))
             yield frame.loc[good, ["x", "y", "sx", "sy"]]
 
-    both = pairs.join(found.select(F.col("s1").alias("x"), F.col("id").alias("xi"), F.col("set").alias("xs")), "x")
-    both = both.join(found.select(F.col("s1").alias("y"), F.col("id").alias("yi"), F.col("set").alias("ys")), "y")
-    both = both.select(F.col("xi").alias("x"), F.col("yi").alias("y"), F.col("x").alias("sx"), F.col("y").alias("sy"), "xs", "ys")
+    both = pairs.join(found.select(F.col("s1").alias("x"), F.col("id").alias("xi"), F.col("packed").alias("xt")), "x")
+    both = both.join(found.select(F.col("s1").alias("y"), F.col("id").alias("yi"), F.col("packed").alias("yt")), "y")
+    both = both.select(F.col("xi").alias("x"), F.col("yi").alias("y"), F.col("x").alias("sx"), F.col("y").alias("sy"), "xt", "yt")
     return c.stored(both.mapInPandas(overlap, "x long, y long, sx long, sy long"), (found, wanted))
 
 
@@ -226,7 +237,10 @@ def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Possible pairs of nodes of different components that share a first shingle."""
     rows = shared.join(roots, "s1")
-    groups = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("g")).where("lo < hi")
+    marks = [F.bit_xor(F.xxhash64("s1", F.lit(i))).alias(f"mark{i}") for i in (1, 2)]
+    groups = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("g"), *marks).where("lo < hi")
+    # a passage is many shingles with the same nodes: one of them will do
+    groups = groups.groupBy("g", "mark1", "mark2").agg(F.min("token").alias("token"))
     rows = rows.join(groups.select("token", "g"), "token")
     rows = rows.join(nodes.select("s1", "n", "signature"), "s1")
     large = F.col("g") > TILE
@@ -285,14 +299,34 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"x": np.concatenate(x) if x else [], "y": np.concatenate(y) if y else []}).drop_duplicates()
 
 
-def _roots(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``s1``, ``root``, a set that names the component, and ``least``, its least doc_id, of each node."""
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after more ``links``: ``s1``, ``root``, a set that names the component, and ``least``, its
+    least doc_id, of each node. Only the components known so far are joined, not their nodes."""
     # ordered by doc_id, told apart by set: other sets may have the same doc_id, or none as well
-    side = lambda i, s1: F.struct(F.col(i).alias("id"), F.col(s1).alias("s1"))
-    ends = c.components(links.select(side("x", "sx").alias("x"), side("y", "sy").alias("y")))
-    ends = ends.select(F.col("node.s1").alias("s1"), F.col("root.s1").alias("root"), F.col("root.id").alias("least"))
-    found = nodes.select("s1", "id").join(ends, "s1", "left")
-    return c.stored(found.select("s1", F.coalesce("root", "s1").alias("root"), F.coalesce("least", "id").alias("least")))
+    ends = links.select("sx", "sy")
+    for side in "xy":
+        of = roots.select(F.col("s1").alias(f"s{side}"), F.struct(F.col("least").alias("id"), F.col("root").alias("s1")).alias(side))
+        ends = ends.join(of, f"s{side}")
+    found = c.components(ends.select("x", "y"))
+    found = found.select(F.col("node.s1").alias("root"), F.col("root.s1").alias("over"), F.col("root.id").alias("first"))
+    merged = roots.join(found, "root", "left")
+    return c.stored(merged.select("s1", F.coalesce("over", "root").alias("root"), F.coalesce("first", "least").alias("least")), (roots,))
+
+
+def _leaders(shared: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``x``, ``y``, ``times``: each node with the leaders of its first shingles, and at how many.
+
+    At each shingle that node leads which has most of its own first shingles in common with others:
+    the text that many near copies were made of, rather than one of them.
+    """
+    first = F.col("n") - F.ceil(PERCENT * F.col("n") / 100) + 1
+    share = shared.groupBy("s1").agg(F.count("*").alias("k")).join(nodes.select("s1", "n"), "s1")
+    # the share in the high bits; below it the set decides
+    order = F.shiftleft((F.col("k") / first * (1 << 20)).cast("long"), 40) + F.shiftrightunsigned("s1", 24)
+    ranked = shared.join(share.select("s1", order.alias("order")), "s1")
+    lead = ranked.groupBy("token").agg(F.max_by("s1", "order").alias("y"))
+    met = shared.join(lead, "token").where("s1 != y")
+    return met.groupBy(F.col("s1").alias("x"), "y").agg(F.count("*").alias("times"))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -314,13 +348,19 @@ def _grouped(docs: DataFrame) -> DataFrame:
     nodes = each.where("n > 0").groupBy("s1").agg(F.min(F.struct("id", "n", "signature")).alias("m")).select("s1", "m.*")
     nodes = c.stored(nodes)
     shared = c.stored(found.where("token is not null").select("token", "s1").distinct())
+    roots = c.stored(nodes.select("s1", F.col("s1").alias("root"), F.col("id").alias("least")))
+    met = c.stored(_leaders(shared, nodes))
+    best = met.groupBy("x").agg(F.max_by("y", F.shiftleft("times", 40) + F.shiftrightunsigned("y", 24)).alias("y"))
     ends = shared.groupBy("token").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo < hi")
     star = shared.join(ends, "token")
-    pairs = star.select(F.col("s1").alias("x"), F.col("lo").alias("y")).union(star.select("s1", "hi")).where("x != y")
-    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    links = _links(docs, nodes, c.stored(_screened(pairs, nodes)), seed)
-    roots = _roots(nodes, links)
-    rest = c.stored(_tiles(shared, nodes, roots), (shared,))
+    star = star.select(F.col("s1").alias("x"), F.col("lo").alias("y")).union(star.select("s1", "hi")).where("x != y")
+    # each node with one leader; then, where they are still apart, with all leaders and both ends
+    for pairs in (best, met.select("x", "y").union(star)):
+        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        apart = _apart(pairs, roots).select("x", "y")
+        links = _links(docs, nodes, c.stored(_screened(apart, nodes)), seed)
+        roots = _merged(roots, links)
+    rest = c.stored(_tiles(shared, nodes, roots), (shared, met))
     for every in (False, True):  # first one pair of each two components, then what is left
         apart = _apart(rest, roots)
         if not every:
@@ -328,8 +368,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
         apart = c.stored(apart.select("x", "y"))
         if apart.isEmpty():
             break
-        links = links.union(_links(docs, nodes, apart, seed))
-        roots = _roots(nodes, links)
+        roots = _merged(roots, _links(docs, nodes, apart, seed))
     out = each.select("id", "rk", "n", "s1").join(roots, "s1", "left")
     return out.select("id", "rk", "n", *[F.when(F.col("n") > 0, F.col(k)).alias(k) for k in ("root", "least")])
 
