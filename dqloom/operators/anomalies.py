@@ -16,7 +16,10 @@ from ..sources.dataset import Dataset
 from . import arima
 from .ar1 import PROBABILITY, detect_anomalies
 from .series import (
+    EARLIEST,
+    MIN_SEEN,
     bucketed,
+    earliest_day,
     fill_gaps,
     infer_frequency,
     pick_metric_column,
@@ -69,16 +72,22 @@ def series_spec(
     through_max: bool = False,
     unit: str | None = None,
 ) -> SeriesSpec:
-    """Training days and unit of one table. Two one-row answers reach the driver.
+    """Training days and unit of one table. Two or three one-row answers reach the driver.
 
-    The dates come back as values so that later scans get them as pushed-down ranges.
+    The dates come back as values so that later scans get them as pushed-down ranges. The
+    unit is that of the usual window; only where this holds too few different times, all
+    earlier rows are looked at. Units above a day are trained on more than the usual window.
     """
     window = training_window(df, time_column, as_of, through_max).first()
     start, end = window.training_start, window.training_end
     if unit is None:
-        rows = training_rows(df, time_column, metric, start, end)
-        unit = infer_frequency(rows, time_column).first().unit
-    return SeriesSpec(table, time_column, metric, unit, start, end)
+        for first in (start, min(start, EARLIEST)):
+            rows = training_rows(df, time_column, metric, first, end)
+            found = infer_frequency(rows, time_column).first()
+            if found.seen >= MIN_SEEN:
+                break
+        unit = found.unit
+    return SeriesSpec(table, time_column, metric, unit, earliest_day(end, unit), end)
 
 
 def _by_unit(specs: Iterable[SeriesSpec]) -> dict[str, list[SeriesSpec]]:

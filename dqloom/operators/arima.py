@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from ..session import cut_lineage
 from .arima_solve import choose_order, forecast_rows, solve_long
-from .series import UNIT_SECONDS, phase_of, season_offsets, steps_between
+from .series import moved, phase_of, season_offsets, steps_between
 
 MAX_ORDER = 5
 # Fixed value: 5% point of the level-stationarity statistic.
@@ -205,8 +205,7 @@ def forecast(models: DataFrame, unit: str, steps: DataFrame | int) -> DataFrame:
         forecast_rows, "series_id string, step bigint, mean double, se double"
     )
     dated = ahead.join(models.select("series_id", "last_bucket", "season"), "series_id")
-    shift = F.make_dt_interval(secs=F.col("step") * UNIT_SECONDS[unit])
-    dated = dated.withColumn("bucket", F.col("last_bucket") + shift)
+    dated = dated.withColumn("bucket", moved(F.col("last_bucket"), F.col("step"), unit))
     return dated.select(
         "series_id", "step", "bucket", (F.col("mean") + _offset(unit)).alias("forecast"), "se"
     )

@@ -20,7 +20,7 @@ from ..functions.names import col
 from ..functions.text import spelling_key, violates
 from .checks import duplicate_values, orphan_values
 from .patterns import case_variants
-from .series import bucket_of
+from .series import LONGEST_DAYS, bucket_of
 
 SAMPLE_SIZE = 10
 
@@ -115,15 +115,17 @@ def sample_anomalies(
 ) -> DataFrame:
     """Source rows in flagged buckets; ``flags`` has one row per scored bucket.
 
-    The first and the last flagged bucket reach the scan as a range of the raw column, a day
-    wider on both sides because zones may shift it, so history is neither read nor moved.
+    The first and the end of the last flagged bucket reach the scan as a range of the raw column,
+    a day wider on both sides because zones may shift it, so history is neither read nor moved.
     """
     flagged = flags.where("is_anomaly").select("bucket").distinct()
+    length = dt.timedelta(days=LONGEST_DAYS[unit])
     low, high = flagged.agg(F.min("bucket"), F.max("bucket")).first()
     if low is None:
         return _first(df.limit(0), key, n)
+    end = min(high, dt.datetime.max - length - 2 * dt.timedelta(days=1)) + length
     kind, day = df.schema[time_column].dataType, dt.timedelta(days=1)
-    near = col(time_column).between(*[F.lit(t).cast("timestamp_ntz").cast(kind) for t in (low - day, high + 2 * day)])
+    near = col(time_column).between(*[F.lit(t).cast("timestamp_ntz").cast(kind) for t in (low - day, end + day)])
     bucket = bucket_of(col(time_column), unit)
     rows = df.where(near).join(flagged, bucket == flagged["bucket"], "left_semi")
     return _first(rows, key, n)

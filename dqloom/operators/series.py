@@ -1,8 +1,9 @@
 """Time series: column choice, training window, buckets, gaps, seasons, differences.
 
-Rows are reduced to one value per bucket before any window runs. A series then has at
-most 91 days of buckets, 131,040 at the finest unit, whatever the size of its table, so
-windows partitioned by series stay small.
+Rows are reduced to one value per bucket before any window runs. A trained series has at
+most 91 days of buckets, 131,040 at the finest unit, or some dozens at units above a day,
+whatever the size of its table, so windows partitioned by series stay small. Gaps are
+filled in blocks of time, so that step holds for series of any length.
 """
 
 from __future__ import annotations
@@ -33,8 +34,22 @@ METRIC_NAME_PARTS = (
 TRAINING_DAYS = 90
 FALLBACK_LAG_DAYS = 7
 
-# Bucket units from fine to coarse, with their length in seconds.
-UNIT_SECONDS = {"minute": 60, "hour": 3600, "day": 86400}
+# Training of units above a day reaches back for at least so many buckets.
+TRAINING_BUCKETS = 24
+# Where looking back ends; Spark takes no literal date with a year of fewer digits.
+EARLIEST = dt.date(1000, 1, 1)
+# Fewer distinct times than this say nothing about the unit.
+MIN_SEEN = 4
+
+# Bucket units from fine to coarse: their length in seconds, or in months where the
+# calendar sets it. Weeks begin on Monday.
+UNIT_SECONDS = {"minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
+UNIT_MONTHS = {"month": 1, "quarter": 3, "year": 12}
+UNITS = (*UNIT_SECONDS, *UNIT_MONTHS)
+# Days that hold any bucket of a unit.
+LONGEST_DAYS = {"minute": 1, "hour": 1, "day": 1, "week": 7, "month": 31, "quarter": 92, "year": 366}
+# Gaps are looked over in blocks of so many buckets and filled in pieces of so many.
+BLOCK = 4096
 # Bucket units -> number of phases in a season: hours of a day, days of a week.
 PHASES = {"hour": 24, "day": 7}
 MIN_COVERAGE = 0.8
@@ -57,7 +72,10 @@ def pick_metric_column(schema: T.StructType) -> str | None:
 
 def bucket_of(time: Column, unit: str) -> Column:
     """Start of the bucket as a zone-free timestamp, whatever the session zone is."""
-    day = F.to_date(time).cast("timestamp_ntz")
+    day = F.to_date(time)
+    if unit in UNIT_MONTHS or unit == "week":
+        return F.trunc(day, unit).cast("timestamp_ntz")
+    day = day.cast("timestamp_ntz")
     if unit == "day":
         return day
     moment = time.cast("timestamp_ntz")
@@ -71,9 +89,38 @@ def seconds_of(moment: Column) -> Column:
     return day + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
 
 
+def number_of(moment: Column, unit: str) -> Column:
+    """Number of the bucket of a zone-free timestamp; the next bucket has the next number."""
+    if unit in UNIT_MONTHS:
+        months = F.year(moment) * 12 + F.month(moment) - 1
+        return F.floor(months / UNIT_MONTHS[unit]).cast("bigint")
+    # 1970-01-01 was a Thursday
+    shift = 3 * 86400 if unit == "week" else 0
+    return F.floor((seconds_of(moment) + shift) / UNIT_SECONDS[unit]).cast("bigint")
+
+
 def steps_between(start: Column, end: Column, unit: str) -> Column:
     """Number of buckets from one bucket to another."""
-    return ((seconds_of(end) - seconds_of(start)) / UNIT_SECONDS[unit]).cast("bigint")
+    return number_of(end, unit) - number_of(start, unit)
+
+
+def moved(bucket: Column, steps: Column, unit: str) -> Column:
+    """The bucket so many buckets later."""
+    if unit in UNIT_MONTHS:
+        months = (steps * UNIT_MONTHS[unit]).cast("int")
+        return F.add_months(F.to_date(bucket), months).cast("timestamp_ntz")
+    return bucket + F.make_dt_interval(secs=steps * UNIT_SECONDS[unit])
+
+
+def earliest_day(end: dt.date, unit: str) -> dt.date:
+    """First training day: 90 days before the last one, further back for coarse units."""
+    usual = end - dt.timedelta(TRAINING_DAYS)
+    if unit in UNIT_MONTHS:
+        months = end.year * 12 + end.month - 1 - UNIT_MONTHS[unit] * TRAINING_BUCKETS
+        back = max(EARLIEST, dt.date(max(months // 12, 1), months % 12 + 1, 1))
+    else:
+        back = end - dt.timedelta(seconds=UNIT_SECONDS[unit] * TRAINING_BUCKETS)
+    return min(usual, back)
 
 
 def max_date(df: DataFrame, time_column: str) -> DataFrame:
@@ -121,37 +168,43 @@ def recent_rows(df: DataFrame, time_column: str, as_of: dt.date | None = None) -
 
 
 def frequency_coverage(df: DataFrame, time_column: str) -> DataFrame:
-    """One row: share of possible buckets that hold rows, one column per unit.
+    """One row: share of possible buckets that hold rows, one column per unit, and ``seen``.
 
-    Rows are first reduced to distinct minutes; the coarser units count those.
+    Rows are first reduced to distinct minutes (``seen`` counts them), these to days with
+    their hours as bits, so the coarser units count days only.
     """
     minutes = df.where(col(time_column).isNotNull()).select(
         bucket_of(col(time_column), "minute").alias("bucket")
     )
-    minutes = minutes.distinct()
-    first, last = F.min("bucket"), F.max("bucket")
+    hours = F.expr("bit_count(bit_or(shiftleft(1, hour(bucket))))")
+    days = minutes.distinct().groupBy(bucket_of(F.col("bucket"), "day").alias("day")).agg(
+        F.count(F.lit(1)).alias("minutes"),
+        hours.alias("hours"),
+        F.min("bucket").alias("first"),
+        F.max("bucket").alias("last"),
+    )
+    found = {"minute": F.sum("minutes"), "hour": F.sum("hours"), "day": F.count(F.lit(1))}
     shares = []
-    for unit in UNIT_SECONDS:
-        span = steps_between(bucket_of(first, unit), bucket_of(last, unit), unit)
-        if unit == "minute":
-            found = F.count(F.lit(1))
-        else:
-            found = F.count_distinct(bucket_of(F.col("bucket"), unit))
-        shares.append((found / (span + 1)).alias(unit))
-    return minutes.agg(*shares)
+    for unit in UNITS:
+        some = found.get(unit)
+        if some is None:
+            some = F.count_distinct(bucket_of(F.col("day"), unit))
+        span = steps_between(F.min("first"), F.max("last"), unit)
+        shares.append((some / (span + 1)).alias(unit))
+    return days.agg(*shares, F.coalesce(F.sum("minutes"), F.lit(0)).alias("seen"))
 
 
 def infer_frequency(df: DataFrame, time_column: str) -> DataFrame:
-    """One row ``unit``: the finest unit whose buckets are covered, else day."""
-    return frequency_coverage(df, time_column).select(finest_covered().alias("unit"))
+    """One row ``unit``: the finest unit whose buckets are covered, and ``seen``."""
+    return frequency_coverage(df, time_column).select(finest_covered().alias("unit"), "seen")
 
 
 def finest_covered() -> Column:
-    """Unit chosen from the shares of ``frequency_coverage``."""
+    """Unit chosen from the shares of ``frequency_coverage``; day if there is no second time."""
     choice = F.lit("day")
-    for unit in reversed(UNIT_SECONDS):
+    for unit in reversed(UNITS):
         choice = F.when(F.col(unit) >= MIN_COVERAGE, F.lit(unit)).otherwise(choice)
-    return choice
+    return F.when(F.col("seen") > 1, choice).otherwise("day")
 
 
 def bucketed(
@@ -168,33 +221,44 @@ def bucketed(
 def fill_gaps(series: DataFrame, unit: str) -> DataFrame:
     """``(series_id, bucket, y, filled)`` with every bucket, gaps interpolated linearly.
 
-    The value after a gap is looked up in a window of falling order: a running
-    ``last`` is linear there, where ``first`` over the rows ahead is quadratic. The
-    buckets are cut off from their source first: they are read several times from here.
+    Each known bucket looks for the next one within its block of ``BLOCK`` buckets; the last
+    of a block takes the first of the next block that has any, from the table of blocks. A
+    bucket then makes the rows up to the next one, in pieces, so neither a long series
+    nor a long gap is ever an array or a window. The buckets are cut off from their
+    source first: they are read twice from here.
     """
     series = cut_lineage(series)
-    step = F.expr(f"interval 1 {unit}")
-    edges = series.groupBy("series_id").agg(
-        F.min("bucket").alias("low"), F.max("bucket").alias("high")
-    )
-    grid = edges.select("series_id", F.explode(F.sequence("low", "high", step)).alias("bucket"))
-    full = grid.join(series, ["series_id", "bucket"], "left")
-    known = F.when(F.col("y").isNotNull(), F.struct("bucket", "y"))
-    by_series = Window.partitionBy("series_id")
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    before = F.last(known, ignorenulls=True).over(by_series.orderBy("bucket").rowsBetween(*so_far))
-    after = F.last(known, ignorenulls=True).over(
-        by_series.orderBy(F.desc("bucket")).rowsBetween(*so_far)
+    known = series.withColumn("at", number_of(F.col("bucket"), unit))
+    known = known.withColumn("block", F.floor(F.col("at") / BLOCK))
+    heads = known.groupBy("series_id", "block").agg(
+        F.min("at").alias("at"), F.min("bucket").alias("bucket"), F.min_by("y", "at").alias("y")
     )
-    full = full.withColumn("before", before).withColumn("after", after)
-    start = seconds_of(F.col("before.bucket"))
-    position = (seconds_of(F.col("bucket")) - start) / (seconds_of(F.col("after.bucket")) - start)
-    line = F.col("before.y") + (F.col("after.y") - F.col("before.y")) * position
-    return full.select(
+    one = F.struct("at", "bucket", "y")
+    blocks = Window.partitionBy("series_id").orderBy("block")
+    heads = heads.select("series_id", "block", F.lead(one).over(blocks).alias("head"))
+    within = Window.partitionBy("series_id", "block").orderBy("at")
+    rows = known.withColumn("next", F.lead(one).over(within)).join(heads, ["series_id", "block"])
+    rows = rows.withColumn("next", F.coalesce("next", "head"))
+    # the last bucket of a series makes itself alone
+    steps = F.coalesce(F.col("next.at") - F.col("at"), F.lit(1))
+    rows = rows.withColumn("steps", steps)
+    none, size = F.lit(0).cast("bigint"), F.lit(BLOCK).cast("bigint")
+    far = rows.where(F.col("steps") > BLOCK)
+    # the exchange keeps the pieces of one gap from being made as one run of rows
+    far = far.withColumn("piece", F.explode(F.sequence(none, F.col("steps") - 1, size)))
+    far = far.repartition("series_id", "piece")
+    rows = rows.where(F.col("steps") <= BLOCK).withColumn("piece", none).unionByName(far)
+    end = F.least(F.col("piece") + BLOCK, F.col("steps")) - 1
+    rows = rows.withColumn("step", F.explode(F.sequence("piece", end)))
+    rows = rows.withColumn("now", moved(F.col("bucket"), F.col("step"), unit))
+    start = seconds_of(F.col("bucket"))
+    position = (seconds_of(F.col("now")) - start) / (seconds_of(F.col("next.bucket")) - start)
+    line = F.col("y") + (F.col("next.y") - F.col("y")) * position
+    return rows.select(
         "series_id",
-        "bucket",
-        F.when(F.col("y").isNotNull(), F.col("y")).otherwise(line).alias("y"),
-        F.col("y").isNull().alias("filled"),
+        F.col("now").alias("bucket"),
+        F.when(F.col("step") == 0, F.col("y")).otherwise(line).alias("y"),
+        (F.col("step") > 0).alias("filled"),
     )
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -55,12 +58,45 @@ class _Run:
     models: DataFrame | None
     as_of: dt.date | None
     pool: ThreadPoolExecutor
+    limit_seconds: float | None = None
     flags: DataFrame | None = None
     # frames of failing values, kept from counting to sampling
     bad_values: dict[str, DataFrame] = field(default_factory=dict)
     kept: list[DataFrame] = field(default_factory=list)
 
 
+@contextmanager
+def _limited(run: _Run):
+    """Cancel the Spark jobs that this thread starts within when they take too long.
+
+    They carry a tag of their own, so jobs of other rules go on. Each block has the whole
+    time, so rules that share a scan with an endless one are found by halves. The rule is an
+    error at once; its tasks end with the batch of rows they are at.
+    """
+    if run.limit_seconds is None:
+        yield
+        return
+    context, tag = run.dataset.spark.sparkContext, f"dqloom-{uuid.uuid4().hex}"
+    over = threading.Event()
+
+    def stop():
+        over.set()
+        context.cancelJobsWithTag(tag)
+
+    timer = threading.Timer(run.limit_seconds, stop)
+    context.addJobTag(tag)
+    timer.start()
+    try:
+        yield
+    except Exception as error:
+        if over.is_set():
+            raise TimeoutError(f"stopped after {run.limit_seconds:g} seconds") from error
+        raise
+    finally:
+        timer.cancel()
+        context.removeJobTag(tag)
+
+
 def _outcome(rule: Row, count: int | None, error: Exception | None, started: float) -> tuple:
     message = None if error is None else f"{type(error).__name__}: {error}"
     now = dt.datetime.now(dt.timezone.utc)
@@ -88,7 +124,9 @@ def _check_boolean(df: DataFrame, predicates: Iterable[Column]) -> None:
             raise TypeError(f"failure predicate is {field_.dataType.simpleString()}, not boolean")
 
 
-def _runnable(df: DataFrame, rules: Iterable[Row]) -> tuple[dict[str, Column], dict[str, Exception]]:
+def _runnable(
+    run: _Run, df: DataFrame, rules: Iterable[Row]
+) -> tuple[dict[str, Column], dict[str, Exception]]:
     """Predicates by rule id, and the errors of those that cannot run.
 
     Bad names fail at analysis. Bad regexes only fail when a row meets them, so all
@@ -108,11 +146,13 @@ def _runnable(df: DataFrame, rules: Iterable[Row]) -> tuple[dict[str, Column], d
                 bad[rule.rule_id] = error
     tried = [r.rule_id for r in rules if r.rule_id in good and not _is_null_test(r)]
     try:
-        _try_one_row(df, [good[i] for i in tried])
+        with _limited(run):
+            _try_one_row(df, [good[i] for i in tried])
     except Exception:  # noqa: BLE001
         for rule_id in tried:
             try:
-                _try_one_row(df, [good[rule_id]])
+                with _limited(run):
+                    _try_one_row(df, [good[rule_id]])
             except Exception as error:  # noqa: BLE001
                 bad[rule_id] = error
                 del good[rule_id]
@@ -155,7 +195,8 @@ def _by_column(rules: Iterable[Row]) -> list[Row]:
 def _run_footer_rules(run: _Run, table: str, rules: list[Row], columns: dict[str, str]) -> list[tuple]:
     started = time.time()
     try:
-        rows = footer_null_counts(run.dataset.counting[table], columns).collect()
+        with _limited(run):
+            rows = footer_null_counts(run.dataset.counting[table], columns).collect()
     except Exception:  # noqa: BLE001 - files without statistics: count from the data
         return _run_row_rules(run, table, rules)
     counts = {r.rule_key: r.failed_count for r in rows}
@@ -165,28 +206,29 @@ def _run_footer_rules(run: _Run, table: str, rules: list[Row], columns: dict[str
 def _run_row_rules(run: _Run, table: str, rules: list[Row]) -> list[tuple]:
     df = run.dataset[table]
     started = time.time()
-    good, bad = _runnable(df, rules)
-    counts, broken = _count_together(df, good)
+    good, bad = _runnable(run, df, rules)
+    counts, broken = _count_together(run, df, good)
     bad.update(broken)
     return [_outcome(r, counts.get(r.rule_id), bad.get(r.rule_id), started) for r in rules]
 
 
 def _count_together(
-    df: DataFrame, predicates: dict[str, Column]
+    run: _Run, df: DataFrame, predicates: dict[str, Column]
 ) -> tuple[dict[str, int], dict[str, Exception]]:
     """Counts from one job; if a row breaks it, halves are tried until the rule is found."""
     if not predicates:
         return {}, {}
     try:
-        rows = fused_counts(df, predicates).collect()
+        with _limited(run):
+            rows = fused_counts(df, predicates).collect()
         return {r.rule_key: r.failed_count for r in rows}, {}
     except Exception as error:  # noqa: BLE001
         if len(predicates) == 1:
             return {}, dict.fromkeys(predicates, error)
     items = list(predicates.items())
     middle = len(items) // 2
-    counts, broken = _count_together(df, dict(items[:middle]))
-    more_counts, more_broken = _count_together(df, dict(items[middle:]))
+    counts, broken = _count_together(run, df, dict(items[:middle]))
+    more_counts, more_broken = _count_together(run, df, dict(items[middle:]))
     return {**counts, **more_counts}, {**broken, **more_broken}
 
 
@@ -227,7 +269,9 @@ def _count_sql(run: _Run, rule: Row) -> int:
 def _run_single(run: _Run, rule: Row, count: Callable[[_Run, Row], int]) -> list[tuple]:
     started = time.time()
     try:
-        return [_outcome(rule, count(run, rule), None, started)]
+        with _limited(run):
+            failed = count(run, rule)
+        return [_outcome(rule, failed, None, started)]
     except Exception as error:  # noqa: BLE001
         return [_outcome(rule, None, error, started)]
 
@@ -257,9 +301,10 @@ def _flag_together(
     if not specs:
         return [], {}, {}
     try:
-        flags = anomalies.flag_series(run.dataset, run.models, specs, run.as_of)
-        flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = anomalies.anomaly_counts(flags).collect()
+        with _limited(run):
+            flags = anomalies.flag_series(run.dataset, run.models, specs, run.as_of)
+            flags = flags.persist(StorageLevel.MEMORY_AND_DISK)
+            rows = anomalies.anomaly_counts(flags).collect()
         return [flags], {r.series_id: r.failed_count for r in rows}, {}
     except Exception as error:  # noqa: BLE001
         if len(specs) == 1:
@@ -386,13 +431,15 @@ def _sample_failing(run: _Run, rules: list[Row]) -> tuple[list[tuple], dict[str,
 def _sample_rows(run: _Run, table: str, rules: list[Row]) -> list[tuple]:
     df = run.dataset[table]
     predicates = {r.rule_id: F.expr(r.failure_predicate) for r in rules}
-    found = samples.sample_table(df, key_column(df), predicates)
-    return [tuple(r) for r in found.collect()]
+    with _limited(run):
+        found = samples.sample_table(df, key_column(df), predicates)
+        return [tuple(r) for r in found.collect()]
 
 
 def _sample_single(run: _Run, rule: Row) -> list[tuple]:
-    found = sample_for(run, rule)
-    return [] if found is None else [(rule.rule_id, r.source_id_val) for r in found.collect()]
+    with _limited(run):
+        found = sample_for(run, rule)
+        return [] if found is None else [(rule.rule_id, r.source_id_val) for r in found.collect()]
 
 
 def sample_for(run: _Run, rule: Row) -> DataFrame | None:
@@ -433,8 +480,12 @@ def run_rules(
     include_pass: bool = False,
     with_samples: bool = True,
     workers: int = WORKERS,
+    limit_seconds: float | None = None,
 ) -> RunOutcome:
-    """Run every rule. Only counts, errors and sample ids come back to the driver."""
+    """Run every rule. Only counts, errors and sample ids come back to the driver.
+
+    ``limit_seconds``: a rule whose jobs take longer is stopped and becomes an error.
+    """
     spark = dataset.spark
     dataset.register_views()
     run_id = run_id or dt.datetime.now(dt.timezone.utc).isoformat()
@@ -443,7 +494,7 @@ def run_rules(
     named = T.StructType([f for f in RULE_SCHEMA if f.name in IDENTITY_FIELDS])
     defined = small_frame(spark, [[r[n] for n in named.names] for r in listed], named)
     with ThreadPoolExecutor(workers) as pool:
-        run = _Run(dataset, models, as_of, pool)
+        run = _Run(dataset, models, as_of, pool, limit_seconds)
         outcomes = [o for f in _submit_all(run, listed) for o in f.result()]
         failing = [by_id[o[0]] for o in outcomes if o[2] is None and (o[1] or 0) > 0]
         rows, notes = _sample_failing(run, failing) if with_samples else ([], {})

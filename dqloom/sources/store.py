@@ -1,13 +1,20 @@
-"""Rules, results, samples and models kept as day-partitioned parquet."""
+"""Rules, results, samples and models kept as day-partitioned parquet.
+
+Tables that are replaced are folders of versions. A new version is written beside the old
+one and counts once its marker exists, which is created after all its files; a write that
+fails leaves the table as it was. The version before is kept for readers that have begun.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import quote_name
-from ..session import cut_lineage
 
 _STRING, _TIME = T.StringType(), T.TimestampType()
 
@@ -69,47 +76,90 @@ def _partitioned(df: DataFrame, time_column: str, day_column: str):
     return df.withColumn(day_column, F.to_date(time_column)).write.partitionBy(day_column)
 
 
+VERSION, COMPLETE = "version-", "_complete"
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def ensure_store(spark: SparkSession, path: str, database: str | None = None) -> None:
     """Create the store folder, and a database over it when a name is given."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    system, folder = _files(spark, path)
+    system.mkdirs(folder)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote_name(database)}")
 
 
 def store_has(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    system, folder = _files(spark, path)
+    return system.exists(folder)
+
+
+def _versions(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """Names of all versions of a table in order, and whether each is complete."""
+    system, at = _files(spark, folder)
+    if not system.exists(at):
+        return []
+    names = sorted(f.getPath().getName() for f in system.listStatus(at) if f.isDirectory())
+    return [
+        (n, store_has(spark, f"{folder}/{n}/{COMPLETE}")) for n in names if n.startswith(VERSION)
+    ]
+
+
+def current_version(spark: SparkSession, folder: str) -> str:
+    """Where the newest complete version is; the folder itself if it has no versions."""
+    complete = [n for n, done in _versions(spark, folder) if done]
+    return f"{folder}/{complete[-1]}" if complete else folder
+
+
+def replace_table(spark: SparkSession, folder: str, write: Callable[[str], None]) -> None:
+    """Let ``write(path)`` make the next version, then make it the current one.
+
+    The old version stays while the new one is written, so ``write`` may read it. Versions
+    before it, and those of failed writes, are deleted in the end.
+    """
+    before = _versions(spark, folder)
+    last = int(before[-1][0].removeprefix(VERSION).split("-")[0]) if before else 0
+    name = f"{VERSION}{last + 1:09d}-{uuid.uuid4().hex[:8]}"
+    write(f"{folder}/{name}")
+    system, marker = _files(spark, f"{folder}/{name}/{COMPLETE}")
+    system.create(marker, False).close()
+    complete = [n for n, done in before if done]
+    for old in {n for n, _ in before} - set(complete[-1:]):
+        system, at = _files(spark, f"{folder}/{old}")
+        system.delete(at, True)
 
 
 def write_rules(df: DataFrame, path: str) -> None:
-    """Replace the rules table in one write, partitioned by generation day.
+    """Replace the rules table, partitioned by generation day.
 
-    The rules may have been read from the same folder, so they are materialized first.
+    The rules may have been read from the same table.
     """
-    day = "generation_date"
-    rules = cut_lineage(df)
-    _partitioned(rules, "rule_generation_timestamp", day).mode("overwrite").parquet(
-        f"{path}/rules"
-    )
+    rules = _partitioned(df, "rule_generation_timestamp", "generation_date")
+    replace_table(df.sparkSession, f"{path}/rules", rules.parquet)
+
+
+def _read(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(current_version(spark, folder))
 
 
 def read_rules(spark: SparkSession, path: str, engine_fields: bool = False) -> DataFrame:
     """All rules: the nine described columns, or those plus what the engine adds."""
-    rules = spark.read.schema(RULE_SCHEMA).parquet(f"{path}/rules")
+    rules = _read(spark, f"{path}/rules", RULE_SCHEMA)
     return rules.select(RULE_SCHEMA.fieldNames() if engine_fields else RULE_FIELDS)
 
 
 def write_results(df: DataFrame, path: str) -> None:
-    """Replace the results table: one atomic write per run, by execution day."""
-    _partitioned(df, "execution_timestamp", "execution_date").mode("overwrite").parquet(
-        f"{path}/results"
-    )
+    """Replace the results table, by execution day: readers see one run or the other."""
+    results = _partitioned(df, "execution_timestamp", "execution_date")
+    replace_table(df.sparkSession, f"{path}/results", results.parquet)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
-    results = spark.read.schema(RESULT_SCHEMA).parquet(f"{path}/results")
-    return results.select(RESULT_SCHEMA.fieldNames())
+    return _read(spark, f"{path}/results", RESULT_SCHEMA).select(RESULT_SCHEMA.fieldNames())
 
 
 def append_samples(df: DataFrame, path: str) -> None:
@@ -130,10 +180,10 @@ def write_models(df: DataFrame, path: str) -> None:
     folder = f"{path}/models"
     models = df
     if store_has(spark, folder):
-        kept = spark.read.parquet(folder).join(df.select("series_id"), "series_id", "left_anti")
+        kept = read_models(spark, path).join(df.select("series_id"), "series_id", "left_anti")
         models = kept.unionByName(df, allowMissingColumns=True)
-    cut_lineage(models).write.mode("overwrite").parquet(folder)
+    replace_table(spark, folder, models.write.parquet)
 
 
 def read_models(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/models")
+    return _read(spark, f"{path}/models")

@@ -7,6 +7,7 @@ from dqloom.functions.text import NAMED_FORMATS, ODD_CHARACTER
 
 from .inputs import (
     ALL_TABLES,
+    CALENDAR,
     EVENTS_AS_OF,
     FOREIGN_KEYS,
     ORDERS_AS_OF,
@@ -223,21 +224,36 @@ ORACLE["t5_recent_rows_events"] = (
 )
 
 
+UNITS = ("minute", "hour", "day", "week", "month", "quarter", "year")
+CALENDAR_TABLES = ", ".join(f"{t} AS ({sql})" for t, sql in CALENDAR.items())
+
+
 def coverage(unit: str, column: str) -> str:
-    spot = f"date_trunc('{unit}', {column})"
+    spot = f"date_trunc('{unit}', CAST({column} AS TIMESTAMP))"
     return (
         f"count(DISTINCT {spot}) / CAST(date_diff('{unit}', min({spot}), max({spot})) + 1 AS DOUBLE)"
     )
 
 
-ORACLE["t6_frequency"] = union(
-    [
-        f"""SELECT {value(t)} AS table_name, round(m, 6) AS minute, round(h, 6) AS hour, round(d, 6) AS day,
-        CASE WHEN m >= 0.8 THEN 'minute' WHEN h >= 0.8 THEN 'hour' ELSE 'day' END AS unit
-        FROM (SELECT {coverage('minute', c)} AS m, {coverage('hour', c)} AS h, {coverage('day', c)} AS d FROM {t}) AS s"""
-        for t, c in TIMED.items()
-    ]
-)
+def seen(column: str) -> str:
+    return f"count(DISTINCT date_trunc('minute', CAST({column} AS TIMESTAMP)))"
+
+
+def unit_of(column: str) -> str:
+    """The finest unit whose buckets are covered."""
+    ladder = " ".join(f"WHEN {coverage(u, column)} >= 0.8 THEN '{u}'" for u in UNITS)
+    return f"CASE WHEN {seen(column)} < 2 THEN 'day' {ladder} ELSE 'day' END"
+
+
+def frequencies(timed: dict[str, str]) -> str:
+    shares = lambda c: ", ".join(f"round({coverage(u, c)}, 6) AS {u}" for u in UNITS)
+    return union(
+        [f"SELECT {value(t)} AS table_name, {shares(c)}, {seen(c)} AS seen, {unit_of(c)} AS unit FROM {t}" for t, c in timed.items()]
+    )
+
+
+ORACLE["t6_frequency"] = frequencies(TIMED)
+ORACLE["t6_frequency_calendar"] = f"WITH {CALENDAR_TABLES} " + frequencies(dict.fromkeys(CALENDAR, "first_day"))
 
 
 def filled(source: str, time_column: str, metric: str, unit: str, how: str, where: str = "TRUE") -> str:
@@ -267,6 +283,15 @@ ORACLE["t7_resample_events_minutes"] = (
     f"WITH {filled('events', 'ts', 'value', 'minute', 'avg')} "
     "SELECT CAST(bucket AS VARCHAR) AS bucket, round(y, 8) AS y, filled FROM filled"
 )
+for _unit in ("week", "month", "quarter", "year"):
+    ORACLE[f"t7_resample_{_unit}ly"] = (
+        f"WITH {CALENDAR_TABLES}, {filled(f'orders_{_unit}ly', 'first_day', 'order_count', _unit, 'avg')} "
+        "SELECT CAST(bucket AS VARCHAR) AS bucket, round(y, 8) AS y, filled FROM filled"
+    )
+ORACLE["t7_resample_orders_by_month"] = (
+    f"WITH {filled('orders', 'o_orderdate', 'o_orderkey', 'month', 'avg', 'month(o_orderdate) NOT IN (2, 3, 7)')} "
+    "SELECT CAST(bucket AS VARCHAR) AS bucket, round(y, 4) AS y, filled FROM filled"
+)
 SEASON = "round(y - avg(y) OVER (PARTITION BY {phase}) + avg(y) OVER (), {digits}) AS y FROM filled"
 ORACLE["t8_deseasonalize_events"] = (
     f"WITH {EVENTS} SELECT CAST(bucket AS VARCHAR) AS bucket, {SEASON.format(phase='hour(bucket)', digits=9)}"
@@ -531,17 +556,30 @@ ORACLE["k3_format_rules_with_inconsistencies"] = dirty(
         ]
     )
 )
-ORACLE["k4_anomaly_rules"] = dirty(
-    union(
+
+
+def trained_unit(table: str, metric: str, column: str) -> str:
+    """Unit of the newest 91 days, of all rows where those have fewer than four times."""
+    rows = f"FROM {table} WHERE {metric} IS NOT NULL"
+    usual = f"{rows} AND CAST({column} AS DATE) >= (SELECT CAST(CAST(max({column}) AS DATE) - INTERVAL 90 DAY AS DATE) FROM {table})"
+    return f"CASE WHEN (SELECT {seen(column)} {usual}) >= 4 THEN (SELECT {unit_of(column)} {usual}) ELSE (SELECT {unit_of(column)} {rows}) END"
+
+
+def trained(specs: tuple[tuple[str, str, str], ...]) -> str:
+    return union(
         [
             f"SELECT {value(t)} AS source_table_id, {value(m)} AS metric_column, 'Anomaly Detection' AS rule_family, "
-            f"{described('anomaly', m, c)} AS rule_description, 'day' AS bucket_unit FROM {t} HAVING count({c}) > 0"
-            for t, m, c in (
-                ("orders_dirty", "o_totalprice", "o_orderdate"),
-                ("lineitem", "l_discount", "l_shipdate"),
-            )
+            f"{described('anomaly', m, c)} AS rule_description, {trained_unit(t, m, c)} AS bucket_unit FROM {t} HAVING count({c}) > 0"
+            for t, m, c in specs
         ]
     )
+
+
+ORACLE["k4_anomaly_rules"] = dirty(
+    trained((("orders_dirty", "o_totalprice", "o_orderdate"), ("lineitem", "l_discount", "l_shipdate")))
+)
+ORACLE["k4_anomaly_rules_calendar"] = f"WITH {CALENDAR_TABLES} " + trained(
+    tuple((t, "order_count", "first_day") for t in ("orders_weekly", "orders_monthly"))
 )
 KNOWN_KEYS = [k for k in FOREIGN_KEYS if k[0] in RUN_TABLES and k[2] in RUN_TABLES]
 ORACLE["k5_reference_rules"] = dirty(

@@ -20,6 +20,7 @@ from dqloom.sources.dataset import Dataset
 
 from .inputs import (
     ALL_TABLES,
+    CALENDAR,
     EVENTS_AS_OF,
     FOREIGN_KEYS,
     ORDERS_AS_OF,
@@ -278,14 +279,24 @@ def _(ds: Dataset):
     return series.recent_rows(ds["events"], "ts", EVENTS_AS_OF).select("event_id", rounded("value"))
 
 
-@query("t6_frequency", *TIMED)
-def _(ds: Dataset):
+def _frequencies(ds: Dataset, timed: dict[str, str]) -> DataFrame:
     def one(table: str, column: str) -> DataFrame:
         shares = series.frequency_coverage(ds[table], column)
         unit = series.finest_covered().alias("unit")
-        return shares.select(F.lit(table).alias("table_name"), *[rounded(u) for u in shares.columns], unit)
+        return shares.select(F.lit(table).alias("table_name"), *[rounded(u) for u in series.UNITS], "seen", unit)
+
+    return union([one(t, c) for t, c in timed.items()])
 
-    return union([one(t, c) for t, c in TIMED.items()])
+
+@query("t6_frequency", *TIMED)
+def _(ds: Dataset):
+    return _frequencies(ds, TIMED)
+
+
+@query("t6_frequency_calendar", *CALENDAR)
+def _(ds: Dataset):
+    """Tables of a row a week, month, quarter and year."""
+    return _frequencies(ds, dict.fromkeys(CALENDAR, "first_day"))
 
 
 def _events_hourly(ds: Dataset, how: str = "sum") -> DataFrame:
@@ -298,6 +309,28 @@ def _(ds: Dataset):
     return filled.select(text("bucket"), rounded("y", 8), "filled")
 
 
+def _resampled(unit: str):
+    def run(ds: Dataset):
+        table = f"orders_{unit}ly"
+        filled = series.resample(ds[table], table, "first_day", "order_count", unit)
+        return filled.select(text("bucket"), rounded("y", 8), "filled")
+
+    run.__doc__ = f"One bucket a {unit}, none invented where the table has one."
+    return run
+
+
+for _unit in ("week", "month", "quarter", "year"):
+    query(f"t7_resample_{_unit}ly", f"orders_{_unit}ly")(_resampled(_unit))
+
+
+@query("t7_resample_orders_by_month", "orders")
+def _(ds: Dataset):
+    """Months of a daily table, those of few orders left out."""
+    few = ds["orders"].where("month(o_orderdate) not in (2, 3, 7)")
+    filled = series.resample(few, "orders", "o_orderdate", "o_orderkey", "month")
+    return filled.select(text("bucket"), rounded("y", 4), "filled")
+
+
 @query("t8_deseasonalize_events", "events")
 def _(ds: Dataset):
     return series.deseasonalize(_events_hourly(ds), "hour").select(text("bucket"), rounded("y", 9))
@@ -550,6 +583,13 @@ def _(ds: Dataset):
     return rules.select("source_table_id", "metric_column", "rule_family", "rule_description", "bucket_unit")
 
 
+@query("k4_anomaly_rules_calendar", "orders_weekly", "orders_monthly", "orders_yearly")
+def _(ds: Dataset):
+    """Weekly and monthly tables are trained in their own unit; a few years are too short."""
+    rules = generate.anomaly_rules(generate.train_models(ds, through_max=True), ds)
+    return rules.select("source_table_id", "metric_column", "rule_family", "rule_description", "bucket_unit")
+
+
 @query("k5_reference_rules", *RUN_TABLES)
 def _(ds: Dataset):
     rules = generate.reference_rules(FOREIGN_KEYS, ds)

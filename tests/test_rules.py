@@ -190,7 +190,7 @@ def test_store_round_trip(spark, sf_dir, tmp_path):
     dqloom.generate_into(ds, path, FOREIGN_KEYS, forecasts=False)
     rules = store.read_rules(spark, path)
     assert rules.columns == store.RULE_FIELDS
-    assert list((tmp_path / "store" / "rules").glob("generation_date=*"))
+    assert list((tmp_path / "store" / "rules").glob("version-*/generation_date=*"))
     first = dqloom.run_stored(ds, path)
     samples = store.read_samples(spark, path).count()
     assert store.read_results(spark, path).count() == first.results.count() > 0
@@ -206,6 +206,45 @@ def test_store_round_trip(spark, sf_dir, tmp_path):
     assert store.read_samples(spark, path).join(store.read_rules(spark, path), "rule_id", "left_anti").count() > 0
 
 
+def test_a_failed_write_leaves_the_former_table(spark, tmp_path):
+    """Readers see the last whole version, whatever happens to the next one."""
+    path, folder = str(tmp_path), tmp_path / "models"
+    rows = lambda *ids: small_frame(spark, [(i, 1.0) for i in ids], "series_id string, phi double")
+    store.write_models(rows("a", "b"), path)
+    begun = store.read_models(spark, path)
+    breaking = rows("c").withColumn("phi", F.when(F.col("series_id") == "c", F.raise_error(F.lit("half-way")).cast("double")))
+    with pytest.raises(Exception, match="half-way"):
+        store.write_models(breaking, path)
+    (folder / "version-000000900-torn").mkdir()  # a driver that was lost before its marker
+    assert sorted(r.series_id for r in store.read_models(spark, path).collect()) == ["a", "b"]
+    store.write_models(rows("b", "d"), path)
+    assert sorted(r.series_id for r in store.read_models(spark, path).collect()) == ["a", "b", "d"]
+    assert sorted(r.series_id for r in begun.collect()) == ["a", "b"]
+    for name in "efg":
+        store.write_models(rows(name), path)
+    versions = sorted(p.name for p in folder.iterdir() if p.name.startswith("version-"))
+    assert len(versions) == 2 and not [v for v in versions if "torn" in v]
+    assert store.read_models(spark, path).count() == 6
+
+
+def test_tables_without_versions_are_read(spark, tmp_path):
+    small_frame(spark, [("a", 1.0)], "series_id string, phi double").write.parquet(str(tmp_path / "models"))
+    assert store.read_models(spark, str(tmp_path)).count() == 1
+    store.write_models(small_frame(spark, [("b", 1.0)], "series_id string, phi double"), str(tmp_path))
+    assert store.read_models(spark, str(tmp_path)).count() == 2
+
+
+def test_an_endless_rule_is_stopped_and_the_others_finish(spark, sf_dir):
+    ds = tables(spark, sf_dir, "customer")
+    rules = generate.null_rules(column_catalog(ds), ds)
+    endless = "SELECT count(*) AS failed_count FROM range(1000000000000000) WHERE id % 7 = 8"
+    slow = maintain.new_rule(rules, "customer", "c_name", "Custom", endless, None, None)
+    found = run_rules(ds, rules.unionByName(slow), include_pass=True, limit_seconds=12).results.collect()
+    stopped = [r for r in found if r.rule_family == "Custom"]
+    assert [r.status for r in stopped] == ["ERROR"] and "stopped after 12 seconds" in stopped[0].error_message
+    assert sorted(r.status for r in found if r.rule_family != "Custom") == ["PASS"] * rules.count()
+
+
 def test_database_tables_leave_views_out(spark, tmp_path):
     store.ensure_store(spark, str(tmp_path / "db"), "dq_test")
     spark.range(3).write.mode("overwrite").option("path", str(tmp_path / "db" / "kept")).saveAsTable("dq_test.kept")

@@ -214,9 +214,75 @@ def test_series_without_data_have_no_rule(spark):
     assert generate.generate_rules(Dataset(spark, {"t": empty.drop("at")})).models is None
 
 
-def test_frequency_falls_back_to_day(spark, sf_dir):
+def test_frequency_of_sparse_tables(spark):
+    """The finest covered unit, day where no second time says anything."""
+    day = dt.datetime(2020, 1, 6)
+    for unit, step in (("day", 1), ("week", 7), ("month", 30.4), ("quarter", 91.3), ("year", 365.25)):
+        rows = [(day + dt.timedelta(int(step * i)),) for i in range(12)]
+        assert series.infer_frequency(small_frame(spark, rows, "t timestamp_ntz"), "t").first().unit == unit
+    for rows in ([], [(None,)], [(day,)], [(day,), (day,)]):
+        assert series.infer_frequency(small_frame(spark, rows, "t timestamp_ntz"), "t").first().unit == "day"
+
+
+def test_numbers_of_buckets_go_with_the_calendar(spark):
+    """The next bucket has the next number, whatever its length, and moving leads to it."""
+    days = spark.sql("select explode(sequence(date'1895-01-01', date'2105-01-01', interval 1 day)) as day").selectExpr("cast(day as timestamp_ntz) as t")
+    for unit in series.UNITS:
+        rows = days.select(series.bucket_of(F.col("t"), unit).alias("b")).distinct()
+        rows = rows.select("b", series.number_of(F.col("b"), unit).alias("n"))
+        jumps = {"minute": 1440, "hour": 24}.get(unit, 1)
+        ahead = rows.join(rows.selectExpr("b as next", "n as n2"), F.col("n2") == F.col("n") + jumps)
+        moved = series.moved(F.col("b"), F.lit(jumps).cast("bigint"), unit)
+        found = ahead.agg(F.count(F.lit(1)).alias("n"), F.count_if(moved == F.col("next")).alias("same")).first()
+        assert found.n == found.same == rows.count() - 1
+
+
+def test_weekly_and_monthly_tables_keep_their_unit(spark):
+    """No bucket is invented; training reaches back far enough; a late spike is flagged."""
+    noise = np.random.default_rng(11).normal(size=60)
+    weeks = [(i, dt.date(2023, 1, 2) + dt.timedelta(7 * i), 500.0 if i == 58 else 100 + float(noise[i])) for i in range(60)]
+    months = [(i, dt.date(2019 + i // 12, i % 12 + 1, 1), 100 + float(noise[i])) for i in range(60)]
+    ds = Dataset(spark, {n: small_frame(spark, r, "id int, day date, amount double") for n, r in (("weeks", weeks), ("months", months))})
+    for table, unit, last in (("weeks", "week", weeks[57][1]), ("months", "month", months[57][1])):
+        spec = anomalies.series_spec(ds[table], table, "day", "amount", last + dt.timedelta(1))
+        assert spec.unit == unit and spec.end == last
+        known = series.fill_gaps(anomalies.training_series(ds, [spec]), unit)
+        assert known.count() >= series.TRAINING_BUCKETS and known.where("filled").isEmpty()
+    as_of = weeks[57][1] + dt.timedelta(1)
+    models = generate.train_models(ds.only("weeks"), as_of)
+    rules = generate.anomaly_rules(models, ds)
+    outcome = run_rules(ds.only("weeks"), rules, models, as_of)
+    assert [(r.status, r.failed_rows) for r in outcome.results.collect()] == [("FAIL", 1)]
+    assert [r.source_id for r in outcome.samples.collect()] == ["58"]
+
+
+def test_gaps_are_filled_across_blocks(spark, monkeypatch):
+    """Gaps within a block, over several, and at their edges, in pieces."""
+    monkeypatch.setattr(series, "BLOCK", 5)
+    hours = [0, 1, 4, 5, 9, 10, 31, 32, 49, 50]
+    start = dt.datetime(2024, 1, 1)
+    rows = [(s, start + dt.timedelta(hours=h), float(h * h)) for s in ("a", "b") for h in hours]
+    filled = series.fill_gaps(small_frame(spark, rows, "series_id string, bucket timestamp_ntz, y double"), "hour")
+    for s in ("a", "b"):
+        found = filled.where(F.col("series_id") == s).orderBy("bucket").collect()
+        assert [r.bucket for r in found] == [start + dt.timedelta(hours=h) for h in range(51)]
+        assert [r.y for r in found] == pytest.approx(np.interp(range(51), hours, [h * h for h in hours]))
+        assert [h for h, r in enumerate(found) if not r.filled] == hours
+
+
+def test_a_sentinel_date_does_not_end_the_run(spark):
+    """Millions of steps to the year 9999 are neither an array nor a window."""
+    rows = [("s", dt.datetime(2024, 1, 1), 1.0), ("s", dt.datetime(9999, 12, 31), 2.0)]
+    frame = small_frame(spark, rows, "series_id string, bucket timestamp_ntz, y double")
+    assert len(series.fill_gaps(frame, "minute").limit(1000).collect()) == 1000
+    found = series.fill_gaps(frame, "hour").agg(F.count(F.lit(1)).alias("n"), F.max("bucket").alias("last"), F.count_if(~F.col("filled")).alias("known")).first()
+    assert (found.n, found.last, found.known) == ((rows[1][1] - rows[0][1]).days * 24 + 1, rows[1][1], 2)
+    plan = series.fill_gaps(frame, "minute")._jdf.queryExecution().executedPlan().toString()
+    assert "windowspecdefinition(series_id" in plan and "block" in plan.split("windowspecdefinition(series_id")[1][:40]
+
+
+def test_frequency_of_a_window(spark, sf_dir):
     ds = tables(spark, sf_dir, "orders", "events")
-    assert series.infer_frequency(ds["orders"], "o_orderdate").first().unit == "day"
     spec = anomalies.series_spec(ds["events"], "events", "ts", "value", ORDERS_AS_OF, through_max=True)
     assert spec.unit in ("hour", "day")
 
