@@ -263,8 +263,8 @@ FILTER_BITS = 17, 28
 
 
 def filter_bits(members: int) -> int:
-    """Width of a filter that has about sixteen bits for each member, up to the widest."""
-    return min(max(members.bit_length() + 4, FILTER_BITS[0]), FILTER_BITS[1])
+    """Width of a filter that has about a hundred bits for each member, up to the widest."""
+    return min(max(members.bit_length() + 6, FILTER_BITS[0]), FILTER_BITS[1])
 
 
 class BitFilter:

@@ -13,7 +13,7 @@ ordered list of the identifiers of its chunks, and two texts are equal when thei
    a thousandth of the rows, fewer than a thousand, are broadcast; others are joined.
 
 Bytes of a chunk travel once a task, and only where its text has a copy. A bitmap tells which recipes
-do; it has sixteen bits for each, up to 32 MB. Beyond that more chunks are compared than need
+do; it has about a hundred bits for each, up to 32 MB. Beyond that more chunks are compared than need
 be, at most each chunk of the corpus once a task; the result is the same.
 
 In every case: a missing text counts as an empty one, and all empty ones are equal; of equal texts

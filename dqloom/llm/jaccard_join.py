@@ -79,6 +79,20 @@ def _set_of(shingles: np.ndarray) -> np.ndarray:
     return shingles[new]
 
 
+def _sets(texts: list[bytes], seed: int) -> list[np.ndarray]:
+    """The set of each text, made from pieces of about ``CHUNK_BYTES`` at a time."""
+    out: list[np.ndarray] = []
+    while len(out) < len(texts):
+        piece, held = [], 0
+        for text in texts[len(out) :]:
+            if piece and held + len(text) > c.CHUNK_BYTES:
+                break
+            piece.append(text)
+            held += len(text)
+        out += map(_set_of, _shingles(piece, seed))
+    return out
+
+
 def _signature(tokens: np.ndarray) -> bytes:
     """A bit is set if an odd number of shingles fall on it; at least two bits a shingle, up
     to the widest signature."""
@@ -205,7 +219,7 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> Da
         for frame in frames:
             texts = dict(zip(frame["sx"].tolist(), frame["xt"])) | dict(zip(frame["sy"].tolist(), frame["yt"]))
             unpack = zstandard.ZstdDecompressor()
-            sets = dict(zip(texts, map(_set_of, _shingles([unpack.decompress(t) for t in texts.values()], seed))))
+            sets = dict(zip(texts, _sets([unpack.decompress(t) for t in texts.values()], seed)))
             good = []
             for a, b in zip(frame["sx"].tolist(), frame["sy"].tolist()):
                 a, b = sets[a], sets[b]
