@@ -316,6 +316,8 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """``roots`` after more ``links``: ``s1``, ``root``, a set that names the component, and ``least``, its
     least doc_id, of each node. Only the components known so far are joined, not their nodes."""
+    if links.isEmpty():
+        return roots
     # ordered by doc_id, told apart by set: other sets may have the same doc_id, or none as well
     ends = links.select("sx", "sy")
     for side in "xy":
@@ -351,7 +353,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
-    """``id``, ``rk``, ``n`` and, with words, ``root`` and ``least`` (see ``_roots``) of each row of
+    """``id``, ``rk``, ``n`` and, with words, ``root`` and ``least`` (see ``_merged``) of each row of
     ``docs``, which is as of ``common.texts``."""
     for seed in range(100):
         found = _first_tokens(docs, seed)
