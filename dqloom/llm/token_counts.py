@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dqloom.llm import common as c
+
 HUGE = 16_384
 CHUNK = 8_192
 OVERLAP = 128
@@ -68,7 +70,7 @@ class Counter:
             here = np.asarray(here, np.int64) + begins
             if end == len(text):
                 return total + int((here >= start).sum())
-            width = overlap
+            width, more = overlap, chunk
             while True:  # the next chunk, wider until its tokens meet those of this one
                 margin = self.longest + 1
                 next_begins = max(start, end - 2 * width - 2 * margin)
@@ -80,7 +82,8 @@ class Counter:
                 if at is not None:
                     break
                 if next_begins <= start:  # nothing left to widen: this chunk takes more text
-                    end = min(len(text), end + chunk)
+                    end = min(len(text), end + more)
+                    more *= 2  # so that a text without such a boundary is encoded a few times, not once a chunk
                     here = np.asarray(self._offsets(text[begins:end]), np.int64) + begins
                     if end == len(text):
                         return total + int((here >= start).sum())
@@ -121,4 +124,4 @@ def counted(docs: DataFrame, path: str, limit: int = LIMIT, text: str = "text")
             frame["tokens"] = found
             yield frame
 
-    return plain.mapInPandas(count, schema).toDF(*names, "tokens")
+    return plain.mapInPandas(count, schema).transform(c.under, names, "tokens")
