@@ -96,6 +96,12 @@ def shown_id(column: str = "id") -> Column:
     return F.when(F.col(column) != LAST_ID, F.col(column)).alias("doc_id")
 
 
+def under(found: DataFrame, names: list[str], result: str) -> DataFrame:
+    """Columns ``c0`` and on under their names again, and ``result``, in whose place no input column stays."""
+    own = [F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n.lower() != result]
+    return found.select(*own, result)
+
+
 def chunks(frames: Iterator[pd.DataFrame], limit: int = CHUNK_BYTES) -> Iterator[pd.DataFrame]:
     """The rows in pieces of about ``limit`` bytes of text; missing texts are empty."""
     for frame in frames:

@@ -134,7 +134,7 @@ def marked(docs: DataFrame, items: DataFrame, window: int = 10, text: str = "tex
                 yield frame
 
         state = state.mapInPandas(look, schema)
-    return state.toDF(*names, "found")
+    return c.under(state, names, "found")
 
 
 def _look(batch: list[bytes], tables: list[Search], ids: list) -> list[dict]:

@@ -207,4 +207,4 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFr
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
-    return marked.mapInPandas(judge, marked.schema).select(*plain.columns, result.alias("quality")).toDF(*names, "quality")
+    return marked.mapInPandas(judge, marked.schema).select(*plain.columns, result.alias("quality")).transform(c.under, names, "quality")

@@ -172,7 +172,7 @@ def marked(docs: DataFrame, text: str = "text") -> DataFrame:
             frame["rules"] = [dict(zip(fields, r)) for r in results]
             yield frame
 
-    return plain.mapInPandas(judge, schema).toDF(*names, "rules")
+    return plain.mapInPandas(judge, schema).transform(c.under, names, "rules")
 
 
 def kept(docs: DataFrame) -> DataFrame:

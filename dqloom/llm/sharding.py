@@ -158,4 +158,4 @@ def sharded(docs: DataFrame, shards: int = 24) -> DataFrame:
         (F.col("ahead") + F.col("nth") - 1).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
-    return ordered.select(*plain.columns, place.alias("place")).toDF(*names, "place")
+    return ordered.select(*plain.columns, place.alias("place")).transform(c.under, names, "place")

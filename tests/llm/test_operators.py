@@ -309,12 +309,30 @@ def check_shards(found, texts, shards):
 
 
 def test_shards(docs, pairs, empty):
-    placed = sharding.sharded(docs.drop("place", "shard"), 5).select("doc_id", "text", "place.*").collect()
+    placed = sharding.sharded(docs, 5).select("doc_id", "text", "place.*").collect()
     assert sorted((r.doc_id, r.text or "") for r in placed) == sorted((i, t or "") for i, t in pairs)
     sizes = check_shards(placed, pairs, 5)
     total, largest = sum(sizes.values()), max(len((t or "").encode()) + 8 for _, t in pairs)
     assert all(abs(s - total / 5) <= largest for s in sizes.values())
-    assert sharding.sharded(empty.drop("place"), 3).isEmpty()
+    assert sharding.sharded(empty, 3).isEmpty()
+
+
+def test_columns_that_clash_with_results(spark, docs, model_path):
+    """A result takes the place of an input column of its name; all others stay."""
+    import corpus_pipeline
+
+    names = ["doc_id", "text", "place", "Found", "rules", "quality", "tokens", "shard", "size", "slot", "law", "c0", "own0"]
+    rows = spark.createDataFrame([(i, f"word{i} " * 20, *names[2:]) for i in range(30)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:]))
+    none, labels = spark.createDataFrame([], "item_id long, text string"), spark.createDataFrame([], "doc_id long, quality int")
+    for found, own in (
+        (decontamination.marked(rows, none), "found"), (quality_rules.marked(rows), "rules"), (sharding.sharded(rows, 3), "place"),
+        (quality_classifier.scored(rows, labels), "quality"), (token_counts.counted(rows, model_path), "tokens"),
+    ):
+        assert found.columns == [n for n in names if n.lower() != own] + [own]
+        assert found.where(f"{own} is not null and c0 = 'c0'").count() == 30
+    out = corpus_pipeline.shards(spark, rows, "")
+    assert out.columns == ["doc_id", "text", "place", "Found", "rules", "quality", "tokens", "c0", "own0", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert {(r.place, r.law) for r in out.collect()} == {("place", "bytes")}
 
 
 def test_copies_are_split_only_as_needed(spark):
@@ -384,6 +402,22 @@ def test_tokens(docs, pairs, empty, model_path):
     assert token_counts.counted(empty, model_path).isEmpty()
 
 
+def test_a_text_without_boundaries_is_not_encoded_chunk_by_chunk(model_path):
+    counter = token_counts.counter(model_path)
+    read = 0
+    offsets = type(counter)._offsets
+
+    class Watched(type(counter)):
+        def _offsets(self, text):
+            nonlocal read
+            read += len(text)
+            return offsets(self, text)
+
+    text = "a" * 400_000
+    assert Watched(model_path).count(text) == len(counter.model.encode(text))
+    assert read < 12 * len(text)
+
+
 def test_spliced_chunks_count_like_whole_texts(model_path):
     counter = token_counts.counter(model_path)
     assert counter.keeps
