@@ -7,6 +7,7 @@ Every stage reads all rows its predecessor kept, and all but the last return the
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dqloom.llm import common, decontamination, jaccard_join, mixing, quality_rules, sharding
 
@@ -32,10 +33,13 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``."""
-    placed = sharding.sharded(docs)
-    names = [n for n in placed.columns if n != "place"]
-    return placed.select(*names, "place.*")
+    """The documents with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``, ``grown_shard``, in whose
+    place no column of the documents stays."""
+    names = docs.columns
+    placed = sharding.sharded(docs.toDF(*[n if n in ("doc_id", "text") else f"own{i}" for i, n in enumerate(names)]))
+    given = placed.schema["place"].dataType.fieldNames()
+    own = [F.col(placed.columns[i]).alias(n) for i, n in enumerate(names) if n.lower() not in given]
+    return placed.select(*own, "place.*")
 
 
 STAGES = [
