@@ -181,3 +181,45 @@ def test_ranks_in_a_block():
         asked = np.arange(4096)
         assert [int(times[low < x].sum()) for x in asked] == block.rank(asked).tolist()
         assert block.times(low).tolist() == times.tolist()
+
+
+# --- the pipeline, each stage on what its predecessor left ----------------------------------
+
+
+def test_pipeline_stages(spark, sf_dir):
+    import corpus_pipeline
+
+    from dqloom.llm import common, quality_rules
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
+    columns, rows = docs.columns, [tuple(r) for r in docs.collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        out = common.stored(stage(spark, docs, sf_dir))
+        before, rows = rows, [tuple(r) for r in out.collect()]
+        pairs = [r[:2] for r in before]
+        if name == "quality_rules":
+            verdicts = quality_rules.judged([(t or "").encode() for _, t in pairs])
+            assert all(v[:6] == brute.base_rules(t) for (_, t), v in zip(pairs, verdicts))
+            expected = [r for r, v in zip(before, verdicts) if v[7]]
+        elif name == "jaccard_join":
+            expected = [r for r, (i, _, root) in zip(before, brute.similar(pairs)) if i == root]
+        elif name == "benchmark_decontamination":
+            expected = [r for r, (_, _, hit, _) in zip(before, brute.passages(pairs, items)) if not hit]
+        elif name == "mixing":
+            sizes, took = Counter(), Counter()
+            for r in before:
+                sizes[r[3]] += len(brute.words(r[1]))
+            for r in rows:
+                took[r[3]] += len(brute.words(r[1]))
+            longest = max(len(brute.words(r[1])) for r in before)
+            assert all(abs(took[s] - t) <= longest / 2 for s, t in brute.targets(sizes).items())
+            assert set(rows) <= set(before) and max(Counter(rows).values()) <= 3
+            expected = rows
+        else:
+            assert Counter(r[: len(columns)] for r in rows) == Counter(before)
+            assert out.columns == [*columns, "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+            expected = rows
+        assert Counter(rows) == Counter(expected), name
+        assert name == "sharding" or out.columns == columns
+        docs = out
