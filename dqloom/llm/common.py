@@ -36,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, instead_of: tuple[DataFrame, ...] = (), codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     This cuts lineage: a lost executor costs a read of these files. What the write
@@ -46,7 +46,7 @@ def stored(df: DataFrame, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     files = _files(spark, path)
     files[0].deleteOnExit(files[1])
     for old in instead_of:

@@ -178,11 +178,13 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
                 "place": place.astype(np.int32),
             })
 
-    parts = c.stored(docs.mapInPandas(rows, ROWS + ", place int"), (found,))
+    parts = c.stored(docs.mapInPandas(rows, ROWS + ", place int"), (found,), "zstd")
     whole = parts.where("bytes is null")
     least = F.min(F.struct("id", "start")).alias("source")
     sources = whole.groupBy("k1", "k2").agg(least, F.count("*").alias("copies")).where("copies > 1").drop("copies")
     simple = whole.join(sources, ["k1", "k2"]).where(F.struct("id", "start") > F.col("source")).select("id", "rk", "start", "n")
+    # each step ends in a table of its own, so what it shuffled is gone before the next one
+    simple = c.stored(simple)
 
     mixed = parts.where("bytes is not null")
     contents = (
@@ -200,7 +202,7 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
     places = c.stored(places)
     late = mixed.drop("bytes").join(places, ["k1", "k2"]).where("id > first_id or (id = first_id and start + j > first_start)")
     late = late.select("id", "rk", (F.col("start") + F.col("j")).alias("start"), F.col("run").alias("n"))
-    return c.stored(c.packed_spans(simple.union(late)), (parts, places))
+    return c.stored(c.packed_spans(simple.union(late)), (parts, places, simple))
 
 
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
