@@ -66,6 +66,21 @@ def test_shapes_stop_where_the_cover_is_reached(spark):
     assert [r.shape for r in patterns.dominant_shapes(frame, ["v"], 0.01, 0.95).collect()] == ["9", "a"]
 
 
+def test_frequent_shapes_among_many_rare_ones(spark):
+    """Shapes of 5 % are found however many others a sketch has to forget."""
+    rare = F.expr("translate(bin(xxhash64(id) & 4294967295), '01', 'a-')")
+    rows = spark.range(0, 60_000, 1, 7)
+    mixed = F.when(F.col("id") % 20 == 3, "AB.1").when(F.col("id") % 20 == 5, F.concat(F.lit("x "), "id"))
+    free = rows.select(F.coalesce(mixed, rare).alias("v"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("k"), "id")).alias("code"))
+    assert patterns.shape_profile(free, "v").count() > 5_000
+    found = {r.shape: (r.n, r.share) for r in patterns.dominant_shapes(free, ["v"], 0.05, 0.1).collect()}
+    assert found == {"A.9": (3000, 0.05), "a 9": (3000, 0.05)}
+    assert patterns.dominant_shapes(free, ["v"]).isEmpty()
+    assert [tuple(r)[:3] for r in patterns.dominant_shapes(free, ["v", "code"]).collect()] == [("code", "a9", 30_000)]
+    assert patterns.dominant_shapes(free.limit(0), ["v", "code"]).isEmpty()
+    assert patterns.dominant_shapes(free.select(F.lit(None).cast("string").alias("v")), ["v"]).isEmpty()
+
+
 def test_case_variants_match_plain_grouping(spark):
     values = ["New York", "new york", " NEW YORK", "Rome", "Rome", "paris", None]
     frame = small_frame(spark, [(v,) for v in values], "v string")
