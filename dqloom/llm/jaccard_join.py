@@ -16,12 +16,13 @@ first shingles are looked at, and only those that two different sets have:
    still apart from them, with all leaders and with the least and the largest node of each of its
    shingles. That is enough to join most groups, in as many pairs as there are rows;
 5. the other pairs: shingles whose nodes are still in several components are cut into tiles, of
-   shingles with the same nodes only one; a large group into bands of sizes that can match and
-   blocks of at most ``TILE`` nodes. Tiles compare signatures; of pairs within one component
+   shingles with the same nodes only one. A tile has a band of sizes and the next, beyond which
+   no size can match, and of a large group blocks of at most ``TILE`` nodes; where its nodes are
+   of one component, it goes. Tiles compare signatures; of pairs within one component
    nothing more has to be known, so first one pair of each two components is checked, then
    the pairs still between components.
 
-Pairs of steps 4 and 5 are checked alike: sizes, then the bound that the bits in which two
+Pairs of steps 4 and 5 are checked alike: sizes, before signatures are sent, then the bound that the bits in which two
 signatures differ put on the overlap, then the exact intersection of the sorted sets, made from
 the texts of just these nodes. Components come from the links by joins, each time between
 the components known before.
@@ -50,7 +51,7 @@ SHINGLE = 5
 PERCENT = 75
 CELL_BITS = 18
 # Bits of the narrowest and the widest signature.
-SIGNATURES = 1024, 1 << 16
+SIGNATURES = 256, 1 << 16
 TILE = 1024
 ROWS = "token long, s1 long, s2 long, id long, rk long, n long, signature binary"
 
@@ -94,10 +95,11 @@ def _sets(texts: list[bytes], seed: int) -> list[np.ndarray]:
 
 
 def _signature(tokens: np.ndarray) -> bytes:
-    """A bit is set if an odd number of shingles fall on it; at least two bits a shingle, up
-    to the widest signature."""
+    """A bit is set if an odd number of shingles fall on it; at least a bit a shingle, up to the
+    widest signature. Two strange sets of n shingles differ in half of n bits then, where 2/7 of n
+    rule a link out."""
     width = SIGNATURES[0]
-    while width < min(2 * len(tokens), SIGNATURES[1]):
+    while width < min(len(tokens), SIGNATURES[1]):
         width *= 2
     odd = np.bincount((tokens & c.U64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
@@ -234,9 +236,10 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> Da
 
 
 def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The ``pairs`` that sizes and signatures do not rule out."""
+    """The ``pairs``, as of ``_apart``, that signatures do not rule out."""
+    pairs = pairs.select("x", "y", "nx", "ny")
     for side in "xy":
-        pairs = pairs.join(nodes.select(F.col("s1").alias(side), F.col("n").alias(f"n{side}"), F.col("signature").alias(f"s{side}")), side)
+        pairs = pairs.join(nodes.select(F.col("s1").alias(side), F.col("signature").alias(f"s{side}")), side)
 
     def screen(frames):
         for frame in frames:
@@ -250,19 +253,21 @@ def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """Possible pairs of nodes of different components that share a first shingle."""
-    rows = shared.join(roots, "s1")
+    rows = shared.join(roots.select("s1", "root").join(nodes.select("s1", "n"), "s1"), "s1")
     marks = [F.bit_xor(F.xxhash64("s1", F.lit(i))).alias(f"mark{i}") for i in (1, 2)]
     groups = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("g"), *marks).where("lo < hi")
     # a passage is many shingles with the same nodes: one of them will do
     groups = groups.groupBy("g", "mark1", "mark2").agg(F.min("token").alias("token"))
     rows = rows.join(groups.select("token", "g"), "token")
-    rows = rows.join(nodes.select("s1", "n", "signature"), "s1")
-    large = F.col("g") > TILE
-    band = F.when(large, F.floor(F.log("n") / F.log(F.lit(100 / PERCENT)))).otherwise(0)
+    # a trace wider than sizes that can match, so that rounding sets none of these two bands apart
+    band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT + 1e-6)))
     blocks = F.ceil(F.col("g") / TILE)
     rows = rows.withColumn("band", band).withColumn("block", F.pmod(F.xxhash64("s1"), blocks))
     # sizes that can match are at most one band apart: a tile has a band and the next
-    rows = rows.withColumn("low", F.explode(F.when(large, F.array("band", F.col("band") - 1)).otherwise(F.array("band"))))
+    rows = rows.withColumn("low", F.explode(F.array("band", F.col("band") - 1)))
+    mixed = rows.groupBy("token", "low").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("band").alias("least"))
+    mixed = mixed.where("lo < hi and least = low").select("token", "low")
+    rows = rows.join(mixed, ["token", "low"]).join(nodes.select("s1", "signature"), "s1")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select(
         "token", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "n", "root", "s1", "signature"
@@ -315,7 +320,7 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
 
 def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     """``roots`` after more ``links``: ``s1``, ``root``, a set that names the component, and ``least``, its
-    least doc_id, of each node. Only the components known so far are joined, not their nodes."""
+    least doc_id, and ``n`` of each node. Only the components known so far are joined, not their nodes."""
     if links.isEmpty():
         return roots
     # ordered by doc_id, told apart by set: other sets may have the same doc_id, or none as well
@@ -326,7 +331,7 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
     found = c.components(ends.select("x", "y"))
     found = found.select(F.col("node.s1").alias("root"), F.col("root.s1").alias("over"), F.col("root.id").alias("first"))
     merged = roots.join(found, "root", "left")
-    return c.stored(merged.select("s1", F.coalesce("over", "root").alias("root"), F.coalesce("first", "least").alias("least")), (roots,))
+    return c.stored(merged.select("s1", F.coalesce("over", "root").alias("root"), F.coalesce("first", "least").alias("least"), "n"), (roots,))
 
 
 def _leaders(shared: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -346,10 +351,12 @@ def _leaders(shared: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The ``pairs`` of nodes in different components ``rx`` < ``ry``."""
+    """The ``pairs`` of nodes in different components ``rx`` < ``ry`` whose sizes ``nx``, ``ny`` can match."""
     for side in "xy":
-        pairs = pairs.join(roots.select(F.col("s1").alias(side), F.col("root").alias(f"r{side}")), side)
-    return pairs.where("rx != ry").select("x", "y", F.least("rx", "ry").alias("rx"), F.greatest("rx", "ry").alias("ry"))
+        of = roots.select(F.col("s1").alias(side), F.col("root").alias(f"r{side}"), F.col("n").alias(f"n{side}"))
+        pairs = pairs.join(of, side)
+    pairs = pairs.where(f"rx != ry and 100 * least(nx, ny) >= {PERCENT} * greatest(nx, ny)")
+    return pairs.select("x", "y", F.least("rx", "ry").alias("rx"), F.greatest("rx", "ry").alias("ry"), "nx", "ny")
 
 
 def _grouped(docs: DataFrame) -> DataFrame:
@@ -364,7 +371,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     nodes = each.where("n > 0").groupBy("s1").agg(F.min(F.struct("id", "n", "signature")).alias("m")).select("s1", "m.*")
     nodes = c.stored(nodes)
     shared = c.stored(found.where("token is not null").select("token", "s1").distinct())
-    roots = c.stored(nodes.select("s1", F.col("s1").alias("root"), F.col("id").alias("least")))
+    roots = c.stored(nodes.select("s1", F.col("s1").alias("root"), F.col("id").alias("least"), "n"))
     met = c.stored(_leaders(shared, nodes))
     best = met.groupBy("x").agg(F.max_by("y", F.shiftleft("times", 40) + F.shiftrightunsigned("y", 24)).alias("y"))
     ends = shared.groupBy("token").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo < hi")
@@ -373,8 +380,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
     # each node with one leader; then, where they are still apart, with all leaders and both ends
     for pairs in (best, met.select("x", "y").union(star)):
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        apart = _apart(pairs, roots).select("x", "y")
-        links = _links(docs, nodes, c.stored(_screened(apart, nodes)), seed)
+        links = _links(docs, nodes, c.stored(_screened(_apart(pairs, roots), nodes)), seed)
         roots = _merged(roots, links)
     rest = c.stored(_tiles(shared, nodes, roots), (shared, met))
     for every in (False, True):  # first one pair of each two components, then what is left
@@ -385,7 +391,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
         if apart.isEmpty():
             break
         roots = _merged(roots, _links(docs, nodes, apart, seed))
-    out = each.select("id", "rk", "n", "s1").join(roots, "s1", "left")
+    out = each.select("id", "rk", "n", "s1").join(roots.drop("n"), "s1", "left")
     return out.select("id", "rk", "n", *[F.when(F.col("n") > 0, F.col(k)).alias(k) for k in ("root", "least")])
 
 
