@@ -9,9 +9,10 @@ down to ``SHALLOW`` bytes, then blind tries on what still shares a longer prefix
 at one branching byte a node and compare with one suffix only. Suffixes that agree in
 ``length`` bytes are one string; its least (doc_id, start) stays.
 
-Buckets hold each distinct content once. An anchor with more than ``HOT`` occurrences is not
-brought into one bucket: its strings become rows of their own under a hash of 128 bits, whose
-least place is aggregated before the shuffle and joined back. That gives the same result.
+Buckets hold each distinct content once, however often it occurs. An anchor with more than ``HOT``
+distinct contents is not brought into one bucket: the strings of these contents, not those of
+their copies, become rows of their own under a hash of 128 bits, whose least place is aggregated
+before the shuffle and joined back. That gives the same result.
 
 In every case: no text, an empty one or one shorter than ``length``: nothing removed; a missing
 doc_id sorts last; rows that agree in doc_id share their places, so equal rows keep each
@@ -28,13 +29,16 @@ from pyspark.sql import functions as F
 
 from dqloom.llm import common as c
 
-ANCHOR_BYTES = 20
+ANCHOR_BYTES = 32
 SHALLOW = 24
 HOT = 4096
 # Suffixes ordered together in a task; a bucket is never split.
 BATCH = 100_000
 PIECE = 1 << 18
+# log2 of the bits of the filter for the occurrences whose bytes are sent.
+CHOSEN_BITS = 26
 ROWS = "k1 long, k2 long, id long, rk long, start int, n int, bytes binary"
+PLACES = "k1 long, k2 long, j int, run int, first_id long, first_start long"
 _OTHERS = c.mixed(c.BYTE_SYMBOLS)
 
 
@@ -128,6 +132,46 @@ def _first_places(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     })
 
 
+def _string_rows(frames, length: int):
+    """A row for each string of contents: its hash, its place, and the content that has it at ``j``."""
+    for frame in c.chunks(frames, PIECE):
+        joined = np.frombuffer(b"".join(frame["text"]), np.uint8)
+        sizes = np.array([len(t) for t in frame["text"]], np.int64)
+        n = sizes - length + 1
+        row = np.repeat(np.arange(len(n)), n)
+        j = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        at = (np.cumsum(sizes) - sizes)[row] + j
+        h1, h2 = (c.mixed(c.Windows(symbols[joined]).at(at, at + length)) for symbols in (c.BYTE_SYMBOLS, _OTHERS))
+        own = {name: frame[name].to_numpy()[row] for name in ("k1", "k2", "id", "copies")}
+        yield pd.DataFrame({"h1": c.signed(h1), "h2": c.signed(h2), **own, "start": frame["start"].to_numpy()[row] + j, "j": j})
+
+
+def _runs(frames):
+    """Rows in order of content and ``j``, those that go on the one before as a run of it."""
+    for frame in frames:
+        same = (np.diff(frame[k].to_numpy(), prepend=0) == step for k, step in (("k1", 0), ("k2", 0), ("j", 1), ("first_id", 0), ("first_start", 1)))
+        new = ~np.logical_and.reduce(list(same))
+        new[:1] = True
+        heads = np.flatnonzero(new)
+        out = frame.iloc[heads].reset_index(drop=True)
+        out.insert(3, "run", np.diff(np.append(heads, len(frame))))
+        yield out
+
+
+def _places_by_hash(contents: DataFrame, length: int) -> DataFrame:
+    """What ``_first_places`` gives, for contents that are too many for a bucket."""
+    strings = c.stored(
+        contents.select("k1", "k2", "id", "start", "copies", F.col("bytes").alias("text")).mapInPandas(
+            lambda frames: _string_rows(frames, length), "h1 long, h2 long, k1 long, k2 long, id long, copies long, start int, j int"
+        )
+    )
+    least = strings.groupBy("h1", "h2").agg(F.min(F.struct("id", "start")).alias("source"), F.sum("copies").alias("all"))
+    late = strings.join(least.where("all > 1").drop("all"), ["h1", "h2"]).where("copies > 1 or source != struct(id, start)")
+    late = late.select("k1", "k2", "j", F.col("source.id").alias("first_id"), F.col("source.start").alias("first_start"))
+    late = late.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "j")
+    return c.stored(late.mapInPandas(_runs, PLACES), (strings,))
+
+
 def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
     """``id``, ``rk`` and spans (see ``common.packed_spans``): ``n`` strings from byte
     ``start`` on also start earlier. ``docs`` as of ``common.texts``."""
@@ -142,9 +186,9 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
         .groupBy("anchor")
         .agg(F.count("*").alias("n"), F.min("content").alias("c1"), F.max("content").alias("c2"))
         .where("n > 1")
-        .select("anchor", F.when(F.col("c1") == F.col("c2"), 0).when(F.col("n") <= HOT, 1).otherwise(2).alias("kind"))
+        .select("anchor", F.when(F.col("c1") == F.col("c2"), 0).otherwise(1).alias("kind"))
     )
-    repeated, branching, hot = (c.BitFilter(found.where(F.col("kind") >= i).select("anchor")) for i in range(3))
+    repeated, branching = (c.BitFilter(found.where(F.col("kind") >= i).select("anchor")) for i in range(2))
 
     def rows(frames):
         for frame in c.chunks(frames, PIECE):
@@ -153,56 +197,69 @@ def repeated_strings(docs: DataFrame, length: int = 100) -> DataFrame:
             keep = repeated.passes(runs["anchor"])
             runs = {name: v[keep] for name, v in runs.items()}
             sort = branching.passes(runs["anchor"])
-            cut = sort & hot.passes(runs["anchor"])
-            sort &= ~cut
-            n = runs["last"] - runs["first"] + 1
-            at = np.repeat(runs["first"][cut] - (np.cumsum(n[cut]) - n[cut]), n[cut]) + np.arange(n[cut].sum())
-            other = c.Windows(_OTHERS[joined]) if len(at) else hashes
-            parts = [
-                (~(sort | cut), runs["anchor"], runs["content"], runs["text"], runs["first"], n),
-                (slice(None), c.mixed(hashes.at(at, at + length)), c.mixed(other.at(at, at + length)), np.repeat(runs["text"][cut], n[cut]), at, np.ones(len(at), np.int64)),
-                (sort, runs["anchor"], runs["content"], runs["text"], runs["first"], n),
-            ]
-            k1, k2, text, start, n = (np.concatenate([p[i][p[0]] for p in parts]) for i in range(1, 6))
-            contents = [None] * (len(k1) - int(sort.sum()))
-            contents += [joined[a:b].tobytes() for a, b in zip(runs["first"][sort], runs["last"][sort] + length)]
-            place = np.concatenate([np.zeros(len(k1) - int(sort.sum()), np.int64), (runs["place"] - runs["first"])[sort]])
+            contents = np.full(len(sort), None, object)
+            contents[sort] = [joined[a:b].tobytes() for a, b in zip(runs["first"][sort], runs["last"][sort] + length)]
             yield pd.DataFrame({
-                "k1": c.signed(k1),
-                "k2": c.signed(k2),
-                "id": frame["id"].to_numpy()[text],
-                "rk": frame["rk"].to_numpy()[text],
-                "start": (start - base[text]).astype(np.int32),
-                "n": n.astype(np.int32),
+                "k1": c.signed(runs["anchor"]),
+                # the only content of its anchor needs no name
+                "k2": c.signed(np.where(sort, runs["content"], c.U64(0))),
+                "id": frame["id"].to_numpy()[runs["text"]],
+                "rk": frame["rk"].to_numpy()[runs["text"]],
+                "start": (runs["first"] - base[runs["text"]]).astype(np.int32),
+                "n": (runs["last"] - runs["first"] + 1).astype(np.int32),
                 "bytes": contents,
-                "place": place.astype(np.int32),
+                "place": np.where(sort, runs["place"] - runs["first"], 0).astype(np.int32),
             })
 
     parts = c.stored(docs.mapInPandas(rows, ROWS + ", place int"), (found,), "zstd")
+    for used in (repeated, branching):
+        used.map.destroy()
     whole = parts.where("bytes is null")
     least = F.min(F.struct("id", "start")).alias("source")
-    sources = whole.groupBy("k1", "k2").agg(least, F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    simple = whole.join(sources, ["k1", "k2"]).where(F.struct("id", "start") > F.col("source")).select("id", "rk", "start", "n")
+    sources = whole.groupBy("k1").agg(least, F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    simple = whole.join(sources, "k1").where(F.struct("id", "start") > F.col("source")).select("id", "rk", "start", "n")
     # each step ends in a table of its own, so what it shuffled is gone before the next one
     simple = c.stored(simple)
 
     mixed = parts.where("bytes is not null")
-    contents = (
-        mixed.groupBy("k1", "k2")
-        .agg(F.min(F.struct("id", "start", "place", "bytes")).alias("s"), F.count("*").alias("copies"))
-        .select("k1", "k2", "s.*", "copies")
-    )
+    # bytes are sent for one occurrence of a content only, which is chosen without them
+    least = F.min(F.struct("id", "start")).alias("s")
+    chosen = c.stored(mixed.groupBy("k1", "k2").agg(least, F.count("*").alias("copies")).select("k1", "k2", "s.*", "copies"))
+    crowded = c.stored(chosen.groupBy("k1").count().where(F.col("count") > HOT).select("k1"))
+    passes = c.BitFilter(chosen.select(F.xxhash64("k1", "k2", "id", "start").alias("key")), CHOSEN_BITS)
+
+    def fetched(frames):
+        for frame in frames:
+            good = passes.passes(frame["key"].to_numpy().view(c.U64))
+            yield frame.loc[good, ["k1", "k2", "id", "start", "place", "bytes"]]
+
+    keyed = mixed.select("k1", "k2", "id", "start", "place", "bytes", F.xxhash64("k1", "k2", "id", "start").alias("key"))
+    rows_of = keyed.mapInPandas(fetched, "k1 long, k2 long, id long, start int, place int, bytes binary").withColumn("copies", F.lit(0))
+    rows_of = rows_of.unionByName(chosen, allowMissingColumns=True)
+
+    def contents(rows):
+        own = F.min(F.when(F.col("bytes").isNotNull(), F.struct("id", "start", "place", "bytes"))).alias("s")
+        return rows.groupBy("k1", "k2").agg(own, F.sum("copies").alias("copies")).select("k1", "k2", "s.*", "copies")
+
+    by_hash = None
+    if not crowded.isEmpty():
+        by_hash = _places_by_hash(contents(rows_of.join(F.broadcast(crowded), "k1", "left_semi")), length)
+        rows_of = rows_of.join(F.broadcast(crowded), "k1", "left_anti")
 
     def order(frames):
         weigh = lambda held: [len(b) - length + 1 for b in held["bytes"]]
         for held in c.whole_buckets(frames, "k1", weigh, BATCH):
             yield _first_places(held, length)
 
-    places = contents.repartition("k1").sortWithinPartitions("k1").mapInPandas(order, "k1 long, k2 long, j int, run int, first_id long, first_start long")
-    places = c.stored(places)
+    places = contents(rows_of.repartition("k1")).sortWithinPartitions("k1").mapInPandas(order, PLACES)
+    places = c.stored(places, (chosen, crowded))
+    passes.map.destroy()
+    done = (parts, places, simple, *([by_hash] if by_hash else []))
+    if by_hash:
+        places = places.union(by_hash)
     late = mixed.drop("bytes").join(places, ["k1", "k2"]).where("id > first_id or (id = first_id and start + j > first_start)")
     late = late.select("id", "rk", (F.col("start") + F.col("j")).alias("start"), F.col("run").alias("n"))
-    return c.stored(c.packed_spans(simple.union(late)), (parts, places, simple))
+    return c.stored(c.packed_spans(simple.union(late)), done)
 
 
 def without_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
