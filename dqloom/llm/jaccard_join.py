@@ -18,7 +18,8 @@ first shingles are looked at, and only those that two different sets have:
 5. the other pairs: shingles whose nodes are still in several components are cut into tiles, of
    shingles with the same nodes only one. A tile has a band of sizes and the next, beyond which
    no size can match, and of a large group blocks of at most ``TILE`` nodes; where its nodes are
-   of one component, it goes. Tiles compare signatures; of pairs within one component
+   of one component, it goes. Tiles compare signatures; a pair that shares several shingles is
+   passed on by one tile, that of the first of them. Of pairs within one component
    nothing more has to be known, so first one pair of each two components is checked, then
    the pairs still between components.
 
@@ -53,6 +54,8 @@ CELL_BITS = 18
 # Bits of the narrowest and the widest signature.
 SIGNATURES = 256, 1 << 16
 TILE = 1024
+# First shingles that go with a node to its tiles, so that a pair is passed on once.
+EARLY = 8
 ROWS = "token long, s1 long, s2 long, id long, rk long, n long, signature binary"
 
 
@@ -251,14 +254,18 @@ def _screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.mapInPandas(screen, "x long, y long")
 
 
-def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Possible pairs of nodes of different components that share a first shingle."""
+def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame, instead_of: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """Possible pairs of nodes of different components that share a first shingle, stored."""
     rows = shared.join(roots.select("s1", "root").join(nodes.select("s1", "n"), "s1"), "s1")
     marks = [F.bit_xor(F.xxhash64("s1", F.lit(i))).alias(f"mark{i}") for i in (1, 2)]
     groups = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("g"), *marks).where("lo < hi")
     # a passage is many shingles with the same nodes: one of them will do
     groups = groups.groupBy("g", "mark1", "mark2").agg(F.min("token").alias("token"))
-    rows = rows.join(groups.select("token", "g"), "token")
+    rows = c.stored(rows.join(groups.select("token", "g"), "token"))
+    # any two nodes of a tile whose lists have an earlier shingle in common meet in its tile as well
+    early = rows.groupBy("s1").agg(F.slice(F.sort_array(F.collect_list("token")), 1, EARLY).alias("early"))
+    sent = nodes.select("s1", "signature").join(early, "s1")
+    stored = rows
     # a trace wider than sizes that can match, so that rounding sets none of these two bands apart
     band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT + 1e-6)))
     blocks = F.ceil(F.col("g") / TILE)
@@ -267,10 +274,10 @@ def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     rows = rows.withColumn("low", F.explode(F.array("band", F.col("band") - 1)))
     mixed = rows.groupBy("token", "low").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("band").alias("least"))
     mixed = mixed.where("lo < hi and least = low").select("token", "low")
-    rows = rows.join(mixed, ["token", "low"]).join(nodes.select("s1", "signature"), "s1")
+    rows = rows.join(mixed, ["token", "low"]).join(sent, "s1")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select(
-        "token", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "n", "root", "s1", "signature"
+        "token", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "n", "root", "s1", "signature", "early"
     )
     place = ["token", "low", "i", "j"]
 
@@ -280,7 +287,7 @@ def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
             yield _compared(held)
 
     ready = rows.repartition(*[F.col(p) for p in place]).sortWithinPartitions(*place, "n")
-    return ready.mapInPandas(compare, "x long, y long").distinct()
+    return c.stored(ready.mapInPandas(compare, "x long, y long").distinct(), (*instead_of, stored))
 
 
 def _numbered(frames, place: list[str]):
@@ -302,6 +309,10 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
     tile, n, root, s1 = (held[k].to_numpy() for k in ("tile", "n", "root", "s1"))
     block, band, low, cross = (held[k].to_numpy() for k in ("block", "band", "low", "i"))
     cross = cross != held["j"].to_numpy()
+    token = held["token"].to_numpy()
+    early = np.full((len(held), EARLY), np.iinfo(np.int64).max)
+    for i, first in enumerate(held["early"]):
+        early[i, : len(first)] = first
     signatures = Signatures(held["signature"].tolist())
     x, y = [], []
     at = np.arange(len(held))
@@ -313,6 +324,8 @@ def _compared(held: pd.DataFrame) -> pd.DataFrame:
             break
         a = at[(root[at] != root[at + d]) & ((block[at] != block[at + d]) | ~cross[at]) & (band[at] == low[at])]
         a = a[_possible(n, signatures, a, a + d)] if len(a) else a
+        both = (early[a][:, :, None] == early[a + d][:, None, :]) & (early[a] < token[a, None])[:, :, None]
+        a = a[~both.any((1, 2))]
         x.append(np.minimum(s1[a], s1[a + d]))
         y.append(np.maximum(s1[a], s1[a + d]))
     return pd.DataFrame({"x": np.concatenate(x) if x else [], "y": np.concatenate(y) if y else []}).drop_duplicates()
@@ -382,7 +395,7 @@ def _grouped(docs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         links = _links(docs, nodes, c.stored(_screened(_apart(pairs, roots), nodes)), seed)
         roots = _merged(roots, links)
-    rest = c.stored(_tiles(shared, nodes, roots), (shared, met))
+    rest = _tiles(shared, nodes, roots, (shared, met))
     for every in (False, True):  # first one pair of each two components, then what is left
         apart = _apart(rest, roots)
         if not every:

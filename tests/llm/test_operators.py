@@ -157,6 +157,19 @@ def test_tiles_alone_find_all_pairs(spark, pairs, monkeypatch):
     assert len({r.root for r in links}) == len(several)
 
 
+def test_a_pair_is_passed_on_by_one_tile():
+    """Two nodes with the first shingles 1 and 2 meet in both tiles."""
+    import pandas as pd
+
+    def passed(token, lists):
+        row = {"tile": 0, "token": token, "low": 3, "i": 0, "j": 0, "block": 0, "band": 3, "n": 9, "signature": bytes(32)}
+        held = pd.DataFrame([row | {"root": k, "s1": k, "early": np.array(x)} for k, x in enumerate(lists)])
+        return jaccard_join._compared(held)[["x", "y"]].to_numpy().tolist()
+
+    assert passed(1, [[1, 2], [1, 2]]) == passed(2, [[2], [1, 2]]) == [[0, 1]]
+    assert passed(2, [[1, 2], [1, 2]]) == []
+
+
 def test_one_of_each(docs, pairs, empty, nameless):
     left = jaccard_join.one_of_each(docs)
     assert left.columns == docs.columns
@@ -375,6 +388,25 @@ def test_strings_of_texts_that_share_a_doc_id(spark, monkeypatch, hot):
     same(found.selectExpr("doc_id", "n_bytes", "n_removed", "size(spans)", "kept"), brute.byte_strings(rows))
 
 
+def test_copies_of_a_crowded_string_stay_rows_of_their_own(spark, monkeypatch):
+    """Copies are one content: no table holds a row for each string of each copy."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 4)
+    stored, most = common.stored, []
+
+    def counted(df, *rest, **more):
+        out = stored(df, *rest, **more)
+        most.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "stored", counted)
+    pick = random.Random(3)
+    base = "".join(pick.choice("abcdefghijklmnop") for _ in range(400))
+    rows = [(i, base) for i in range(60)] + [(i, base[:200] + str(i) + base[201:]) for i in range(60, 80)]
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    same(found.selectExpr("doc_id", "n_bytes", "n_removed", "size(spans)", "kept"), brute.byte_strings(rows))
+    assert max(most) < 5_000
+
+
 @pytest.mark.parametrize("length", [5, 8, 24, 30, 100])
 def test_equal_suffixes(length):
     pick = random.Random(length)
