@@ -70,11 +70,11 @@ def packed_spans(spans: DataFrame) -> DataFrame:
     return spans.groupBy("id", "rk").agg(F.collect_set(one).alias("spans"))
 
 
-def in_small_batches(docs: DataFrame) -> DataFrame:
-    """``docs``, in a session that bounds Arrow batches by ``BATCH_BYTES``, or by less where it does so."""
+def in_small_batches(docs: DataFrame, limit: int = BATCH_BYTES) -> DataFrame:
+    """``docs``, in a session that bounds Arrow batches by ``limit`` bytes, or by less where it does so."""
     conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(conf.get(key).rstrip("b")) <= BATCH_BYTES:
-        conf.set(key, str(BATCH_BYTES))
+    if not 0 < int(conf.get(key).rstrip("b")) <= limit:
+        conf.set(key, str(limit))
     return docs
 
 
@@ -128,6 +128,11 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def forget_words() -> None:
+    """At the end of a task: its worker goes on to other tasks, of other operators too, for which this is lost memory."""
+    _HASHES.clear()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), U64, len(words))
 

@@ -51,6 +51,10 @@ from dqloom.llm import common as c
 SHINGLE = 5
 PERCENT = 75
 CELL_BITS = 18
+# Texts are worked on in pieces of about this many bytes, as a byte takes some 40 of arrays;
+# texts that travel compressed come in batches of at most ``BATCH_BYTES``.
+PIECE = 1 << 18
+BATCH_BYTES = 1 << 20
 # Bits of the narrowest and the widest signature.
 SIGNATURES = 256, 1 << 16
 TILE = 1024
@@ -84,12 +88,12 @@ def _set_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def _sets(texts: list[bytes], seed: int) -> list[np.ndarray]:
-    """The set of each text, made from pieces of about ``CHUNK_BYTES`` at a time."""
+    """The set of each text, made from pieces of about ``PIECE`` bytes at a time."""
     out: list[np.ndarray] = []
     while len(out) < len(texts):
         piece, held = [], 0
         for text in texts[len(out) :]:
-            if piece and held + len(text) > c.CHUNK_BYTES:
+            if piece and held + len(text) > PIECE:
                 break
             piece.append(text)
             held += len(text)
@@ -152,7 +156,7 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
 
     def cells(frames):
         out = np.zeros(1 << CELL_BITS, np.int64)
-        for frame in c.chunks(frames):
+        for frame in c.chunks(frames, PIECE):
             tokens = np.concatenate(_shingles(frame["text"].tolist(), seed))
             np.add.at(out, (tokens >> c.U64(64 - CELL_BITS)).astype(np.int64), 1)
         return out
@@ -176,7 +180,7 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
         return found, np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in found], c.U64)
 
     def anchors(frames):
-        for frame in c.chunks(frames):
+        for frame in c.chunks(frames, PIECE):
             found, s1 = sets(frame)
             take = [first(x) for x in found]
             yield pd.DataFrame({"token": c.signed(np.concatenate(take)), "s1": c.signed(np.repeat(s1, [len(x) for x in take]))})
@@ -186,7 +190,7 @@ def _first_tokens(docs: DataFrame, seed: int) -> DataFrame:
     passes = c.BitFilter(shared, c.filter_bits(shared.count()))
 
     def rows(frames):
-        for frame in c.chunks(frames):
+        for frame in c.chunks(frames, PIECE):
             found, s1 = sets(frame)
             take = [first(x) for x in found]
             s1_of = np.repeat(s1, [len(x) for x in take])
@@ -210,7 +214,7 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> Da
 
     def wanted_texts(frames):
         pack = zstandard.ZstdCompressor(level=1)
-        for frame in c.chunks(frames):
+        for frame in c.chunks(frames, PIECE):
             frame = frame[passes.passes(frame["key"].to_numpy().view(c.U64))].reset_index(drop=True)
             if len(frame):
                 sets = [_set_of(x).tobytes() for x in _shingles(frame["text"].tolist(), seed)]
@@ -225,6 +229,7 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, seed: int) -> Da
             texts = dict(zip(frame["sx"].tolist(), frame["xt"])) | dict(zip(frame["sy"].tolist(), frame["yt"]))
             unpack = zstandard.ZstdDecompressor()
             sets = dict(zip(texts, _sets([unpack.decompress(t) for t in texts.values()], seed)))
+            del texts
             good = []
             for a, b in zip(frame["sx"].tolist(), frame["sy"].tolist()):
                 a, b = sets[a], sets[b]
@@ -375,6 +380,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def _grouped(docs: DataFrame) -> DataFrame:
     """``id``, ``rk``, ``n`` and, with words, ``root`` and ``least`` (see ``_merged``) of each row of
     ``docs``, which is as of ``common.texts``."""
+    docs = c.in_small_batches(docs, BATCH_BYTES)
     for seed in range(100):
         found = _first_tokens(docs, seed)
         each = found.where("token is null")

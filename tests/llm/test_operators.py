@@ -170,6 +170,12 @@ def test_a_pair_is_passed_on_by_one_tile():
     assert passed(2, [[1, 2], [1, 2]]) == []
 
 
+def test_workers_forget_words_at_the_end_of_a_task(spark, docs):
+    quality_rules.kept(docs).collect()
+    left = spark.range(0, 64, 1, 16).mapInPandas(lambda frames: (f.assign(id=len(common._HASHES)) for f in frames), "id long")
+    assert {r.id for r in left.collect()} == {0}
+
+
 def test_one_of_each(docs, pairs, empty, nameless):
     left = jaccard_join.one_of_each(docs)
     assert left.columns == docs.columns
