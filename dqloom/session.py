@@ -43,7 +43,8 @@ def build_session(
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or else the context's own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = getattr(spark, "sparkContext", None)  # not every kind of session has one
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (context and context.getCheckpointDir())
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
