@@ -21,6 +21,8 @@ CHUNK_BYTES = 1 << 20
 VOCABULARY = 400_000
 # Arrow sends texts to Python in batches of at most this many bytes, a longer text alone.
 BATCH_BYTES = 8 << 20
+# Whether Spark drops the shuffle files of an execution when it ends.
+DROPS_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 U64 = np.uint64
 
 
@@ -40,13 +42,18 @@ def stored(df: DataFrame, instead_of: tuple[DataFrame, ...] = (), codec: str | N
     """``df`` written to the shared folder and read again.
 
     This cuts lineage: a lost executor costs a read of these files. What the write
-    shuffled is not needed any more, so the driver's garbage is collected, which lets Spark
-    drop those shuffle files. ``instead_of``: stored frames that nothing needs after this
-    one; their files go at once, all others when the application ends.
+    shuffled is not needed any more, so Spark drops those files when the write ends; what other
+    jobs shuffled goes as the driver's garbage is collected. ``instead_of``: stored frames that
+    nothing needs after this one; their files go at once, all others when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    before = spark.conf.get(DROPS_SHUFFLES, None)
+    spark.conf.set(DROPS_SHUFFLES, "true")
+    try:
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
+    finally:
+        spark.conf.unset(DROPS_SHUFFLES) if before is None else spark.conf.set(DROPS_SHUFFLES, before)
     files = _files(spark, path)
     files[0].deleteOnExit(files[1])
     for old in instead_of:

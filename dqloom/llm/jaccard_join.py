@@ -266,33 +266,50 @@ def _tiles(shared: DataFrame, nodes: DataFrame, roots: DataFrame, instead_of: tu
     groups = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("g"), *marks).where("lo < hi")
     # a passage is many shingles with the same nodes: one of them will do
     groups = groups.groupBy("g", "mark1", "mark2").agg(F.min("token").alias("token"))
-    rows = c.stored(rows.join(groups.select("token", "g"), "token"))
+    stored = c.stored(rows.join(groups.select("token", "g"), "token"), instead_of)
+    place = ["token", "low", "i", "j"]
+
+    def compare(frames):
+        weigh = lambda held: np.ones(len(held))
+        for held in c.whole_buckets(_numbered(frames, place), "tile", weigh, 4 * TILE):
+            yield _compared(held)
+
+    ready = _dealt(stored, nodes).repartition(*[F.col(p) for p in place]).sortWithinPartitions(*place, "n")
+    return c.stored(ready.mapInPandas(compare, "x long, y long").distinct(), (stored,))
+
+
+def _dealt(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of tiles, of ``rows`` (``token``, ``s1``, ``root``, ``n``, ``g`` nodes of the token): those
+    for whom their tile may have a partner, of another component and a size that can match."""
     # any two nodes of a tile whose lists have an earlier shingle in common meet in its tile as well
     early = rows.groupBy("s1").agg(F.slice(F.sort_array(F.collect_list("token")), 1, EARLY).alias("early"))
     sent = nodes.select("s1", "signature").join(early, "s1")
-    stored = rows
     # a trace wider than sizes that can match, so that rounding sets none of these two bands apart
     band = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT + 1e-6)))
     blocks = F.ceil(F.col("g") / TILE)
     rows = rows.withColumn("band", band).withColumn("block", F.pmod(F.xxhash64("s1"), blocks))
     # sizes that can match are at most one band apart: a tile has a band and the next
     rows = rows.withColumn("low", F.explode(F.array("band", F.col("band") - 1)))
-    mixed = rows.groupBy("token", "low").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("band").alias("least"))
-    mixed = mixed.where("lo < hi and least = low").select("token", "low")
-    rows = rows.join(mixed, ["token", "low"]).join(sent, "s1")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select(
-        "token", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "n", "root", "s1", "signature", "early"
+    # the smaller of a pair is of the lower band: ``lo``, ``hi``, ``most`` are of that, ``least`` of the next
+    lower = F.col("band") == F.col("low")
+    mixed = rows.groupBy("token", "low").agg(
+        F.min("root").alias("first"),
+        F.max("root").alias("last"),
+        F.min(F.when(lower, F.col("root"))).alias("lo"),
+        F.max(F.when(lower, F.col("root"))).alias("hi"),
+        F.max(F.when(lower, F.col("n"))).alias("most"),
+        F.min(F.when(~lower, F.col("n"))).alias("least"),
     )
-    place = ["token", "low", "i", "j"]
-
-    def compare(frames):
-        weigh = lambda held: np.ones(len(held))
-        for held in c.whole_buckets(_numbered(frames, place), "tile", weigh, 4 * TILE):
-            yield _compared(held)
-
-    ready = rows.repartition(*[F.col(p) for p in place]).sortWithinPartitions(*place, "n")
-    return c.stored(ready.mapInPandas(compare, "x long, y long").distinct(), (*instead_of, stored))
+    mixed = mixed.where(f"first < last and (lo < hi or 100 * most >= {PERCENT} * least)").drop("first", "last")
+    rows = rows.join(mixed, ["token", "low"])
+    of_lower = f"band = low and (lo < hi or 100 * n >= {PERCENT} * least)"
+    of_next = f"band > low and 100 * most >= {PERCENT} * n and (lo < hi or root != lo)"
+    rows = rows.where(f"{of_lower} or {of_next}").join(sent, "s1")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return rows.select(
+        "token", "low", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "band", "n", "root", "s1", "signature",
+        F.filter("early", lambda t: t < F.col("token")).alias("early"),
+    )
 
 
 def _numbered(frames, place: list[str]):

@@ -170,6 +170,42 @@ def test_a_pair_is_passed_on_by_one_tile():
     assert passed(2, [[1, 2], [1, 2]]) == []
 
 
+def test_tiles_get_only_rows_that_may_have_a_partner(spark):
+    """Bands of 57 to 74 and of 75 to 99 shingles: 60 and 99 cannot match, 74 and 98 can, of 74 the component is that of 75."""
+    nodes = spark.createDataFrame([(s1, bytearray(32)) for s1 in range(10)], "s1 long, signature binary")
+    sizes = {1: {0: 60, 1: 99}, 2: {2: 74, 3: 98, 4: 75, 5: 99}, 3: {2: 74, 3: 98}, 4: {6: 60, 7: 61, 8: 90}}
+    rows = [(t, s1, 2 if s1 == 4 else s1, n, len(group)) for t, group in sizes.items() for s1, n in group.items()]
+    found = jaccard_join._dealt(spark.createDataFrame(rows, "token long, s1 long, root long, n long, g long"), nodes)
+    dealt = defaultdict(list)
+    for r in found.collect():
+        dealt[r.token, r.low].append((r.s1, r.early))
+    dealt = {k: sorted(v) for k, v in dealt.items()}
+    low = min(b for _, b in dealt)
+    assert dealt == {
+        (2, low): [(2, []), (3, [])],
+        (2, low + 1): [(3, []), (4, []), (5, [])],
+        (3, low): [(2, [2]), (3, [2])],
+        (4, low): [(6, []), (7, [])],
+    }
+
+
+def test_what_a_stored_frame_shuffled_goes_when_it_is_written(spark, monkeypatch):
+    """The driver's garbage, collected at once, often still holds the write."""
+    from pyspark.sql import DataFrameWriter
+
+    write, seen = DataFrameWriter.parquet, []
+
+    def parquet(self, *rest, **more):
+        seen.append(spark.conf.get(common.DROPS_SHUFFLES, None))
+        return write(self, *rest, **more)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    before = spark.conf.get(common.DROPS_SHUFFLES, None)
+    kept = common.stored(spark.range(100_000).groupBy("id").count())
+    assert kept.count() == 100_000 and seen == ["true"]
+    assert spark.conf.get(common.DROPS_SHUFFLES, None) == before
+
+
 def test_workers_forget_words_at_the_end_of_a_task(spark, docs):
     quality_rules.kept(docs).collect()
     left = spark.range(0, 64, 1, 16).mapInPandas(lambda frames: (f.assign(id=len(common._HASHES)) for f in frames), "id long")
